@@ -3,11 +3,14 @@
 from daygrain.registry import shared_sql  # noqa: F401  (defines what the texts below refer to)
 from daygrain.registry import (  # noqa: F401
     golden,
+    invariants,
     merging,
     profiling,
     quality,
+    reconciling,
     reports,
     scalars,
+    zones,
 )
 from daygrain.registry.base import ORACLES, QUERIES
 

@@ -49,7 +49,12 @@ def complete(sql: str) -> str:
             needed.add(name)
             todo.append(_WITH[name])
     parts = [f"{n} AS (\n{text}\n)" for n, text in _WITH.items() if n in needed]
-    return f"WITH {', '.join(parts)}\n{sql.strip()}" if parts else sql.strip()
+    sql = sql.strip()
+    if not parts:
+        return sql
+    if sql.startswith("WITH "):
+        return f"WITH {', '.join(parts)},\n{sql.removeprefix('WITH ')}"
+    return f"WITH {', '.join(parts)}\n{sql}"
 
 
 def query(name: str, sql: str | None = None):

@@ -77,9 +77,8 @@ TABLES = tuple(RAW)
 
 def raw_schema(name: str, corrupt: bool = True) -> StructType:
     """Schema to read `name` with; events carry the corrupt-record column unless told not to."""
-    if name == EVENTS and corrupt:
-        return StructType([*RAW[name].fields, StructField(CORRUPT, StringType())])
-    return RAW[name]
+    corrupt_field = [StructField(CORRUPT, StringType())] if name == EVENTS and corrupt else []
+    return StructType([*RAW[name].fields, *corrupt_field])
 
 
 def text_schema(name: str) -> StructType:
