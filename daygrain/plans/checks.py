@@ -27,6 +27,16 @@ def _total(df: DataFrame, amount: Column, name: str) -> DataFrame:
     )
 
 
+def _conditions(df: DataFrame, broken: Mapping[str, Column]) -> DataFrame:
+    """One check per condition, all counted in a single scan."""
+    counts = df.agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(broken.values())])
+    rows = [
+        F.struct(F.lit(name).alias("check_name"), F.col(f"n{i}").alias("violations"))
+        for i, name in enumerate(broken)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _covers(day: str) -> Column:
     return (F.col(day) >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to"))
@@ -167,27 +177,29 @@ def table_constraints(t: Tables) -> DataFrame:
         per_day = df.groupBy(F.col(day).alias("full_date")).agg(F.count("*").alias("n"))
         return per_day.join(days, "full_date", "left_anti")
 
-    current = dim.where(F.col("is_current"))
+    start, end, current = F.col("valid_from"), F.col("valid_to"), F.col("is_current")
     versions = dim.select(SURROGATE).distinct()
     return _union(
         [
-            _count(
-                dim.where(F.col("valid_to") <= F.col("valid_from")), "valid_to after valid_from"
-            ),
-            _count(
-                dim.where(F.col("is_current") != F.col("valid_to").isNull()),
-                "current rows have no end",
+            _conditions(
+                dim,
+                {
+                    "valid_to after valid_from": end <= start,
+                    "current rows have no end": current != end.isNull(),
+                    "required customer columns": F.col(PERSON).isNull()
+                    | start.isNull()
+                    | current.isNull(),
+                },
             ),
             duplicate_keys(dim, [PERSON, "valid_from"], "one version per start"),
             duplicate_keys(dim, [SURROGATE], "unique customer_sk"),
-            duplicate_keys(current, [PERSON], "one current row per customer"),
-            _count(
-                dim.where(
-                    F.col(PERSON).isNull()
-                    | F.col("valid_from").isNull()
-                    | F.col("is_current").isNull()
-                ),
-                "required customer columns",
+            duplicate_keys(dim.where(current), [PERSON], "one current row per customer"),
+            _conditions(
+                sessions,
+                {
+                    "required session columns": F.col("furthest_stage").isNull()
+                    | F.col("purchased").isNull()
+                },
             ),
             _total(
                 outside_calendar(orders, "order_date"), F.col("n"), "order_date in the calendar"
@@ -202,10 +214,6 @@ def table_constraints(t: Tables) -> DataFrame:
                 F.col("n"),
                 "session_date in the calendar",
             ),
-            _count(
-                sessions.where(F.col("furthest_stage").isNull() | F.col("purchased").isNull()),
-                "required session columns",
-            ),
             _total(
                 orders.where(F.col(SURROGATE).isNotNull())
                 .groupBy(SURROGATE)

@@ -16,10 +16,15 @@ Tables = Mapping[str, DataFrame]
 AMOUNT = "decimal(38,2)"
 
 
-def _metric(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.agg(F.coalesce(value.cast(AMOUNT), F.lit(0).cast(AMOUNT)).alias("value")).select(
-        F.lit(name).alias("check"), "value"
-    )
+def _totals(df: DataFrame, **values: Column) -> DataFrame:
+    """Rows (check, value) out of one aggregation of a table; `__` in a name stands for a space."""
+    none = F.lit(0).cast(AMOUNT)
+    exact = [F.coalesce(v.cast(AMOUNT), none).alias(name) for name, v in values.items()]
+    rows = [
+        F.struct(F.lit(name.replace("__", " ")).alias("check"), F.col(name).alias("value"))
+        for name in values
+    ]
+    return df.agg(*exact).select(F.inline(F.array(*rows)))
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -45,26 +50,31 @@ def source_metrics(
     people = snapshots.join(orders, "customer_id", "left_semi")
     return _union(
         [
-            _metric(orders, "orders", _rows()),
-            _metric(its, "order items", _rows()),
-            _metric(its, "items value", F.sum(money("price", 18))),
-            _metric(its, "freight value", F.sum(money("freight_value", 18))),
-            _metric(pays, "payments", F.sum(money("payment_value", 18))),
-            _metric(people, "people who ordered", F.count_distinct(PERSON)),
+            _totals(orders, orders=_rows()),
+            _totals(
+                its,
+                order__items=_rows(),
+                items__value=F.sum(money("price", 18)),
+                freight__value=F.sum(money("freight_value", 18)),
+            ),
+            _totals(pays, payments=F.sum(money("payment_value", 18))),
+            _totals(people, people__who__ordered=F.count_distinct(PERSON)),
         ]
     )
 
 
 def warehouse_metrics(t: Tables) -> DataFrame:
-    orders = t["fact_orders"]
     return _union(
         [
-            _metric(orders, "orders", _rows()),
-            _metric(t["fact_order_items"], "order items", _rows()),
-            _metric(orders, "items value", F.sum("items_value")),
-            _metric(orders, "freight value", F.sum("freight_value")),
-            _metric(orders, "payments", F.sum("payment_value")),
-            _metric(t["dim_customer"], "people who ordered", F.count_distinct(PERSON)),
+            _totals(
+                t["fact_orders"],
+                orders=_rows(),
+                items__value=F.sum("items_value"),
+                freight__value=F.sum("freight_value"),
+                payments=F.sum("payment_value"),
+            ),
+            _totals(t["fact_order_items"], order__items=_rows()),
+            _totals(t["dim_customer"], people__who__ordered=F.count_distinct(PERSON)),
         ]
     )
 
@@ -74,14 +84,14 @@ def direct_metrics(
 ) -> tuple[DataFrame, DataFrame]:
     """Sessions, products and sellers: (source, warehouse)."""
     source = [
-        _metric(events, "sessions", F.count_distinct("session_id")),
-        _metric(products, "products", _rows()),
-        _metric(sellers, "sellers", _rows()),
+        _totals(events, sessions=F.count_distinct("session_id")),
+        _totals(products, products=_rows()),
+        _totals(sellers, sellers=_rows()),
     ]
     loaded = [
-        _metric(t["fact_sessions"], "sessions", _rows()),
-        _metric(t["dim_product"], "products", _rows()),
-        _metric(t["dim_seller"], "sellers", _rows()),
+        _totals(t["fact_sessions"], sessions=_rows()),
+        _totals(t["dim_product"], products=_rows()),
+        _totals(t["dim_seller"], sellers=_rows()),
     ]
     return _union(source), _union(loaded)
 
@@ -131,23 +141,34 @@ def derived_facts(t: Tables) -> DataFrame:
 
 def copy_metrics(t: Tables) -> DataFrame:
     """The 14 figures on which two copies of the warehouse must agree."""
-    orders, sessions, people = t["fact_orders"], t["fact_sessions"], t["dim_customer"]
     return _union(
         [
-            _metric(t["dim_date"], "dim_date rows", _rows()),
-            _metric(people, "dim_customer rows", _rows()),
-            _metric(people, "dim_customer current rows", F.count_if("is_current")),
-            _metric(t["dim_product"], "dim_product rows", _rows()),
-            _metric(t["dim_seller"], "dim_seller rows", _rows()),
-            _metric(orders, "fact_orders rows", _rows()),
-            _metric(t["fact_order_items"], "fact_order_items rows", _rows()),
-            _metric(sessions, "fact_sessions rows", _rows()),
-            _metric(sessions, "sessions purchased", F.count_if("purchased")),
-            _metric(orders, "orders delivered_late", F.count_if("delivered_late")),
-            _metric(orders, "sum items_value", F.sum("items_value")),
-            _metric(orders, "sum freight_value", F.sum("freight_value")),
-            _metric(orders, "sum payment_value", F.sum("payment_value")),
-            _metric(t["fact_order_items"], "sum item price", F.sum("price")),
+            _totals(t["dim_date"], dim_date__rows=_rows()),
+            _totals(
+                t["dim_customer"],
+                dim_customer__rows=_rows(),
+                dim_customer__current__rows=F.count_if("is_current"),
+            ),
+            _totals(t["dim_product"], dim_product__rows=_rows()),
+            _totals(t["dim_seller"], dim_seller__rows=_rows()),
+            _totals(
+                t["fact_orders"],
+                fact_orders__rows=_rows(),
+                orders__delivered_late=F.count_if("delivered_late"),
+                sum__items_value=F.sum("items_value"),
+                sum__freight_value=F.sum("freight_value"),
+                sum__payment_value=F.sum("payment_value"),
+            ),
+            _totals(
+                t["fact_order_items"],
+                fact_order_items__rows=_rows(),
+                sum__item__price=F.sum("price"),
+            ),
+            _totals(
+                t["fact_sessions"],
+                fact_sessions__rows=_rows(),
+                sessions__purchased=F.count_if("purchased"),
+            ),
         ]
     )
 

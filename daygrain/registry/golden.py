@@ -29,7 +29,7 @@ def first_arrivals(star: Star):
 @query("g6_sessions", _SESSION_COLUMNS + "s_sessions")
 def sessions(star: Star):
     """Every session from the whole event history."""
-    return star.sessions
+    return star.build_sessions()
 
 
 @query(
@@ -41,7 +41,7 @@ WHERE last_arrival = (SELECT max(ingest_dt) FROM s_clean_events)""",
 def sessions_of_day(star: Star):
     """Sessions the last arrival day touched, each with all its history."""
     last = star.events.agg(F.max("ingest_dt")).first()[0]
-    return gold.build_sessions(star.clean_events, last)
+    return star.build_sessions(last)
 
 
 @query(
@@ -51,7 +51,7 @@ SELECT customer_unique_id, zip, city, state,
        strftime(effective_date, '%Y-%m-%d') AS effective_date FROM s_feed""",
 )
 def feed(star: Star):
-    return star.feed
+    return star.build_feed()
 
 
 @query(
@@ -66,7 +66,7 @@ SELECT order_id, customer_unique_id, strftime(order_date, '%Y-%m-%d') AS order_d
        payment_value::DOUBLE AS payment_value FROM s_gold_orders""",
 )
 def fact_orders(star: Star):
-    return star.gold_orders
+    return star.build_fact_orders()
 
 
 @query(
@@ -77,7 +77,7 @@ SELECT order_id, order_item_id, product_id, seller_id, customer_unique_id,
        freight_value::DOUBLE AS freight_value FROM s_gold_items""",
 )
 def fact_items(star: Star):
-    return star.gold_items
+    return star.build_fact_items()
 
 
 @query(
@@ -95,7 +95,7 @@ def lost_items(star: Star):
 
 @query("g10_dim_product", "SELECT * FROM s_dim_product")
 def dim_product(star: Star):
-    return star.dim_product
+    return star.build_dim_product()
 
 
 @query(
@@ -103,7 +103,7 @@ def dim_product(star: Star):
     "SELECT seller_id, lpad(zip, 5, '0') AS zip, city, state FROM s_sellers",
 )
 def dim_seller(star: Star):
-    return star.dim_seller
+    return star.build_dim_seller()
 
 
 @query(
@@ -122,7 +122,7 @@ FROM (SELECT unnest(generate_series(first, last, INTERVAL 1 DAY)) AS d
 )
 def dim_date(star: Star):
     """The calendar over all days on which something was ordered or browsed."""
-    return star.dim_date
+    return star.build_dim_date()
 
 
 @query(

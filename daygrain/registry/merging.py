@@ -98,7 +98,7 @@ def replayed(star: Star):
 
 @query("m3b_scd2_history", _VERSIONS)
 def whole_history(star: Star):
-    return star.dim_customer.drop(SURROGATE)
+    return history(star.feed).drop(SURROGATE)
 
 
 @query(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from daygrain.plans import kpi
 from daygrain.registry.base import pct, query
 from daygrain.registry.star import Star
@@ -78,20 +75,6 @@ def sellers(star: Star):
     return kpi.sellers(star.gold_items, star.gold_orders)
 
 
-def raw_events(star: Star) -> DataFrame:
-    """Events as shipped: untyped, bad rows and copies included."""
-    return star.events
-
-
-def text_orders(star: Star) -> DataFrame:
-    return star.order_heads.select("order_id", "order_status")
-
-
-def text_items(star: Star) -> DataFrame:
-    """Items with their price as text, as in the files."""
-    return star.all_lines.withColumn("price", F.col("price").cast("string"))
-
-
 @query(
     "b1_events_by_type",
     f"""
@@ -106,7 +89,7 @@ def one_day(star: Star):
     f"SELECT event_type, count(*) AS n FROM s_events WHERE ingest_dt = '{BENCH_DAY}' GROUP BY 1",
 )
 def one_day_raw(star: Star):
-    return kpi.events_by_type(raw_events(star), BENCH_DAY)
+    return kpi.events_by_type(star.raw_events, BENCH_DAY)
 
 
 @query(
@@ -121,7 +104,7 @@ def stage_sessions(star: Star):
     "b2_raw", "SELECT event_type, count(DISTINCT session_id) AS s FROM s_events GROUP BY 1"
 )
 def stage_sessions_raw(star: Star):
-    return kpi.sessions_by_type(raw_events(star))
+    return kpi.sessions_by_type(star.raw_events)
 
 
 @query(
@@ -138,7 +121,7 @@ def mobile(star: Star):
     "SELECT ingest_dt AS dt, count(*) AS n FROM s_events WHERE device = 'mobile' GROUP BY 1",
 )
 def mobile_raw(star: Star):
-    return kpi.device_events_per_day(raw_events(star))
+    return kpi.device_events_per_day(star.raw_events)
 
 
 def _revenue_sql(orders: str, items: str) -> str:
@@ -154,4 +137,4 @@ def status_revenue(star: Star):
 
 @query("b4_raw", _revenue_sql("s_orders", "s_lines"))
 def status_revenue_raw(star: Star):
-    return kpi.revenue_by_status(text_orders(star), text_items(star))
+    return kpi.revenue_by_status(star.raw_orders, star.raw_items)

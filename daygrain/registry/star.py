@@ -1,7 +1,13 @@
-"""Clean and gold frames over the generated tables, built by the same plans a day's run uses."""
+"""Clean, gold and warehouse tables over the generated ones, built by the plans of a day's run.
+
+As in a lake, a table is written when it is first needed and then read: the folders are shared
+by the queries of one Spark application, and what is read from them needs no rebuilding when an
+executor is lost.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -11,10 +17,43 @@ from daygrain.operators.quality import load_rules
 from daygrain.operators.versions import SURROGATE, as_of, history
 from daygrain.plans import gold
 from daygrain.plans.clean import accepted, prepare, rejected, tag_table
+from daygrain.session import shared_dir
+from daygrain.sinks import files
+from daygrain.sources import schemas
+from daygrain.sources.readers import read_text_table
 from daygrain.sources.shop import EVENT_RANGE, Shop
 
+# (application, source folder, table) to the folder it was written to.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
 
 class Star(Shop):
+    def _written(self, name: str, write: Callable[[str], None]) -> str:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        path = _WRITTEN.get(key)
+        if path is None or not files.exists(self.spark, files.join(path, "_SUCCESS")):
+            path = shared_dir(self.spark, name)
+            write(path)
+            _WRITTEN[key] = path
+        return path
+
+    def stored(
+        self, name: str, build: Callable[[], DataFrame], partition: str | None = None
+    ) -> DataFrame:
+        def write(path: str) -> None:
+            df = build()
+            writer = df.hint("rebalance", partition).write.partitionBy(partition) if (
+                partition
+            ) else df.write
+            writer.parquet(path)
+
+        path = self._written(name, write)
+        if partition is None:
+            return self.spark.read.parquet(path)
+        # Declared as text, so the partition column is not guessed to be a date.
+        schema = self.spark.read.parquet(path).drop(partition).schema.add(partition, "string")
+        return self.spark.read.schema(schema).parquet(path)
+
     @cached_property
     def rules(self) -> dict:
         rules = load_rules()
@@ -26,13 +65,46 @@ class Star(Shop):
         within = ["ingest_dt"] if "ingest_dt" in raw.columns else []
         return tag_table(prepare(raw, name), name, self.rules, within)
 
+    # Raw zone: text files.
+
+    @cached_property
+    def raw_events(self) -> DataFrame:
+        """Events as shipped: gzip JSON lines per arrival day, read without types."""
+
+        def write(path: str) -> None:
+            self.events.drop(schemas.CORRUPT).hint("rebalance", "ingest_dt").write.partitionBy(
+                "ingest_dt"
+            ).option("compression", "gzip").option("ignoreNullFields", False).json(path)
+
+        path = self._written("raw_events", write)
+        schema = schemas.text_schema("events").add("ingest_dt", "string")
+        return self.spark.read.schema(schema).json(path)
+
+    def _raw_csv(self, name: str, df: DataFrame) -> DataFrame:
+        def write(path: str) -> None:
+            df.write.option("header", True).option("compression", "gzip").csv(path)
+
+        return read_text_table(self.spark, name, self._written(f"raw_{name}", write))
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        return self._raw_csv("orders", self.orders)
+
+    @cached_property
+    def raw_items(self) -> DataFrame:
+        return self._raw_csv("order_items", self.all_lines)
+
+    # Clean and quarantine zones.
+
     @cached_property
     def tagged_events(self) -> DataFrame:
         return self.tagged("events", self.events)
 
     @cached_property
     def clean_events(self) -> DataFrame:
-        return accepted(self.tagged_events, "events")
+        return self.stored(
+            "clean_events", lambda: accepted(self.tagged_events, "events"), "ingest_dt"
+        )
 
     @cached_property
     def tagged_orders(self) -> DataFrame:
@@ -40,67 +112,99 @@ class Star(Shop):
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        return accepted(self.tagged_orders, "orders")
+        return self.stored("clean_orders", lambda: accepted(self.tagged_orders, "orders"))
 
     @cached_property
     def quarantined_orders(self) -> DataFrame:
-        return rejected(self.tagged_orders)
+        return self.stored("quarantine_orders", lambda: rejected(self.tagged_orders))
 
     @cached_property
     def clean_items(self) -> DataFrame:
-        return accepted(self.tagged("order_items", self.order_items), "order_items")
+        return self.stored(
+            "clean_items",
+            lambda: accepted(self.tagged("order_items", self.order_items), "order_items"),
+        )
+
+    # Gold builders, not stored.
+
+    def build_sessions(self, dt: str | None = None) -> DataFrame:
+        return gold.build_sessions(self.clean_events, dt)
+
+    def build_feed(self) -> DataFrame:
+        return gold.build_customer_feed(self.customer_snapshots, self.clean_orders)
+
+    def build_fact_orders(self) -> DataFrame:
+        return gold.build_fact_orders(
+            self.clean_orders, self.clean_items, self.order_payments, self.customer_snapshots
+        )
+
+    def build_fact_items(self) -> DataFrame:
+        return gold.build_fact_items(self.clean_orders, self.clean_items, self.customer_snapshots)
+
+    def build_dim_product(self) -> DataFrame:
+        return gold.build_dim_product(self.products, self.translation)
+
+    def build_dim_seller(self) -> DataFrame:
+        return gold.build_dim_seller(self.sellers)
+
+    def build_dim_date(self) -> DataFrame:
+        """A calendar over all days on which something was ordered or browsed."""
+
+        def bounds(table: str, ts: str) -> DataFrame:
+            day = F.col(ts).cast("date")
+            return self.table(table).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+
+        both = bounds("orders", "o_orderdate").unionByName(bounds("events", "ts"))
+        return gold.calendar(both.agg(F.min("first").alias("first"), F.max("last").alias("last")))
+
+    # Warehouse tables.
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return gold.build_sessions(self.clean_events)
+        return self.stored("fact_sessions", self.build_sessions)
 
     @cached_property
     def feed(self) -> DataFrame:
-        return gold.build_customer_feed(self.customer_snapshots, self.clean_orders)
+        return self.stored("customer_feed", self.build_feed)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return history(self.feed)
+        return self.stored("dim_customer", lambda: history(self.feed))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return gold.build_dim_product(self.products, self.translation)
+        return self.stored("dim_product", self.build_dim_product)
 
     @cached_property
     def dim_seller(self) -> DataFrame:
-        return gold.build_dim_seller(self.sellers)
+        return self.stored("dim_seller", self.build_dim_seller)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        """A calendar over all days on which something was ordered or browsed."""
-        ordered = self.table("orders").agg(
-            F.min("o_orderdate").cast("date").alias("first"),
-            F.max("o_orderdate").cast("date").alias("last"),
-        )
-        browsed = self.table("events").agg(
-            F.min("ts").cast("date").alias("first"), F.max("ts").cast("date").alias("last")
-        )
-        return gold.calendar(
-            ordered.unionByName(browsed).agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        )
+        return self.stored("dim_date", self.build_dim_date)
 
     @cached_property
-    def gold_orders(self) -> DataFrame:
-        return gold.build_fact_orders(
-            self.clean_orders, self.clean_items, self.order_payments, self.customer_snapshots
+    def fact_orders(self) -> DataFrame:
+        return self.stored(
+            "fact_orders",
+            lambda: as_of(self.build_fact_orders(), self.dim_customer, "order_date"),
         )
 
     @cached_property
-    def gold_items(self) -> DataFrame:
-        return gold.build_fact_items(self.clean_orders, self.clean_items, self.customer_snapshots)
+    def fact_items(self) -> DataFrame:
+        return self.stored(
+            "fact_order_items",
+            lambda: as_of(self.build_fact_items(), self.dim_customer, "order_date"),
+        )
 
-    @cached_property
-    def fact_orders(self) -> DataFrame:
-        return as_of(self.gold_orders, self.dim_customer, "order_date")
+    @property
+    def gold_orders(self) -> DataFrame:
+        """Orders before their customer version is looked up."""
+        return self.fact_orders.drop(SURROGATE)
 
-    @cached_property
-    def fact_items(self) -> DataFrame:
-        return as_of(self.gold_items, self.dim_customer, "order_date")
+    @property
+    def gold_items(self) -> DataFrame:
+        return self.fact_items.drop(SURROGATE)
 
     @property
     def warehouse(self) -> dict[str, DataFrame]:
