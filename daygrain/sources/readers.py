@@ -69,8 +69,8 @@ def _with_text_partition(df: DataFrame, column: str) -> DataFrame:
 def read_partitions(
     spark: SparkSession, base: str, column: str = "ingest_dt"
 ) -> DataFrame | None:
-    """A whole partitioned table, partition value as text, or None if nothing was written yet."""
-    if not files.exists(spark, base):
+    """A whole partitioned table, partition value as text, or None if it has no partition."""
+    if not any(name.startswith(f"{column}=") for name in files.children(spark, base)):
         return None
     return _with_text_partition(spark.read.parquet(base), column)
 
