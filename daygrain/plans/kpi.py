@@ -155,16 +155,21 @@ def device_events_per_day(
 
 
 def revenue_by_status(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with items and their revenue by order status. Text columns are cast here."""
+    """Orders with items and their revenue by order status. Text columns are cast here.
+
+    All steps up to one row per order and status share the items' partitioning by order.
+    """
     per_order = items.groupBy("order_id").agg(
         F.sum(money(F.col("price").cast("double"), 18)).alias("revenue")
     )
     return (
         orders.select("order_id", "order_status")
         .join(per_order, "order_id")
+        .groupBy("order_id", "order_status")
+        .agg(F.sum("revenue").alias("revenue"))
         .groupBy("order_status")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
+            F.count("order_id").alias("orders"),
             F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
         )
         .orderBy("order_status")
