@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.functions.values import distinct_from
+from daygrain.operators.lookup import attach
 
 PERSON = "customer_unique_id"
 ADDRESS = ("zip", "city", "state")
@@ -103,7 +104,8 @@ def as_of(
     in date order finds each version: a person asks at most once per calendar day, however
     many facts they have. Versions of a person must not overlap, which the checks ensure.
     """
-    asked = facts.select(person, F.col(on_date).alias("_at")).distinct()
+    counted = facts.groupBy(person, on_date).agg(F.count("*").alias("_n"))
+    asked = counted.select(person, F.col(on_date).alias("_at"))
     version = F.struct("valid_from", "valid_to", *take)
     marks = (
         dim.select(person, F.col("valid_from").alias("_at"), version.alias("_version"))
@@ -123,4 +125,4 @@ def as_of(
         )
         .select(person, F.col("_at").alias(on_date), *[f"_version.{c}" for c in take])
     )
-    return facts.join(found, [person, on_date], "left")
+    return attach(facts, found, [person, on_date], rows_per_key=counted)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daygrain.functions.time import date_key, iso_weekday, local_date
 from daygrain.functions.values import lookup, money, zip_code
 from daygrain.operators.copies import keep_first
+from daygrain.operators.lookup import attach
 from daygrain.session import configure
 from daygrain.sinks.partitions import write_gold
 from daygrain.sources import schemas
@@ -17,6 +18,16 @@ from daygrain.sources.readers import read_day, read_events_upto
 STAGES = {"page_view": 1, "add_to_cart": 2, "checkout_start": 3, "purchase": 4}
 REACHED = {"viewed": 1, "carted": 2, "checkout_started": 3, "purchased": 4}
 
+SESSION_INPUT = (
+    "event_id",
+    "session_id",
+    "customer_unique_id",
+    "event_type",
+    "event_ts",
+    "device",
+    "ingest_dt",
+)
+
 # Fixed value: the promotion day the calendar marks.
 BLACK_FRIDAY = "2017-11-24"
 
@@ -40,9 +51,12 @@ def build_sessions(
         if lookback_days is not None:
             first = F.date_sub(F.lit(dt).cast("date"), lookback_days).cast("string")
             events = events.where(F.col("ingest_dt") >= first)
+    # Ties between copies are broken by all columns, so only those a session needs are kept.
+    events = events.select(*SESSION_INPUT)
     rank = lookup(STAGES, "event_type")
-    # One aggregation decides both what a session looks like and whether the day touched it;
-    # finding the touched sessions first would read and shuffle the history twice.
+    # One aggregation decides both what a session looks like and whether the day touched it.
+    # Finding the day's sessions first would shuffle the history once more, and for a copy of
+    # an event that sits in another session even twice.
     sessions = dedupe_events(events).groupBy("session_id").agg(
         F.max("customer_unique_id").alias("customer_unique_id"),
         F.max("device").alias("device"),
@@ -53,6 +67,7 @@ def build_sessions(
         F.max("ingest_dt").alias("last_arrival"),
     )
     if dt is not None:
+        # A session whose only event of the day is a late copy was not touched by it.
         sessions = sessions.where(F.col("last_arrival") == dt)
     stage_name = lookup({n: s for s, n in STAGES.items()}, "rank")
     return sessions.select(
@@ -73,19 +88,23 @@ def attach_customer(orders: DataFrame, snapshots: DataFrame) -> DataFrame:
     people = snapshots.groupBy("customer_id").agg(
         F.min("customer_unique_id").alias("customer_unique_id")
     )
+    linked = attach(orders, people, ["customer_id"])
     refuse = F.raise_error(
         F.concat(F.lit("no customer snapshot for order "), F.col("order_id"))
     ).cast("string")
-    return orders.join(people, "customer_id", "left").withColumn(
-        "customer_unique_id", F.coalesce("customer_unique_id", refuse)
-    )
+    return linked.withColumn("customer_unique_id", F.coalesce("customer_unique_id", refuse))
 
 
 def build_customer_feed(snapshots: DataFrame, orders: DataFrame) -> DataFrame:
-    """One address per person and day: that of the person's last order of the day."""
-    bought = orders.select("customer_id", "order_purchase_timestamp")
+    """One address per person and day: that of the person's last order of the day.
+
+    Only the latest order of a customer id can win, so the others need not be joined.
+    """
+    bought = orders.groupBy("customer_id").agg(
+        F.max("order_purchase_timestamp").alias("order_purchase_timestamp")
+    )
     last = keep_first(
-        snapshots.join(bought, "customer_id"),
+        attach(snapshots, bought, ["customer_id"], "inner"),
         ["customer_unique_id", "effective_date"],
         [F.col("order_purchase_timestamp").desc(), "customer_id"],
     )
@@ -171,14 +190,7 @@ def build_dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
     english = translation.groupBy("product_category_name").agg(
         F.min("product_category_name_english").alias("english")
     )
-    # A third of the products may have no category. NULL never matches, so those rows are
-    # spread by product instead of meeting in the one task that NULL hashes to.
-    lane = F.when(F.col("product_category_name").isNull(), F.xxhash64("product_id")).otherwise(0)
-    renamed = products.withColumn("_lane", lane).join(
-        english.withColumn("_lane", F.lit(0).cast("bigint")),
-        ["product_category_name", "_lane"],
-        "left",
-    )
+    renamed = attach(products, english, ["product_category_name"])
     measures = {
         "name_length": "product_name_lenght",
         "description_length": "product_description_lenght",

@@ -193,10 +193,13 @@ def untranslated(products: DataFrame, translation: DataFrame) -> DataFrame:
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str, out: str) -> DataFrame:
-    """Rows of `left` whose key is not in `right`; rows without a key are unmatched too."""
-    return left.select(key).join(right.select(key).distinct(), key, "left_anti").agg(
-        _n().alias(out)
-    )
+    """Rows of `left` whose key is not in `right`; rows without a key are unmatched too.
+
+    Both sides are reduced to one row per key first, so no key is hot in the join.
+    """
+    counted = left.groupBy(key).agg(_n().alias("n"))
+    missing = counted.join(right.select(key).distinct(), key, "left_anti")
+    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(out))
 
 
 def payment_mismatch(items: DataFrame, payments: DataFrame) -> DataFrame:

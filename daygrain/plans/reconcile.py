@@ -44,21 +44,28 @@ def in_window(orders: DataFrame, first: str, last: str) -> DataFrame:
 def source_metrics(
     orders: DataFrame, items: DataFrame, payments: DataFrame, snapshots: DataFrame
 ) -> DataFrame:
-    """The six totals of a set of source orders."""
-    its = items.join(orders, "order_id", "left_semi")
-    pays = payments.join(orders, "order_id", "left_semi")
-    people = snapshots.join(orders, "customer_id", "left_semi")
+    """The six totals of a set of source orders; everything is summed per order first."""
+    per_order = items.groupBy("order_id").agg(
+        _rows().alias("n"),
+        F.sum(money("price", 18)).alias("price"),
+        F.sum(money("freight_value", 18)).alias("freight"),
+    )
+    paid = payments.groupBy("order_id").agg(F.sum(money("payment_value", 18)).alias("paid"))
+    people = snapshots.select("customer_id", PERSON).distinct()
     return _union(
         [
             _totals(orders, orders=_rows()),
             _totals(
-                its,
-                order__items=_rows(),
-                items__value=F.sum(money("price", 18)),
-                freight__value=F.sum(money("freight_value", 18)),
+                per_order.join(orders, "order_id", "left_semi"),
+                order__items=F.sum("n"),
+                items__value=F.sum("price"),
+                freight__value=F.sum("freight"),
+            ),
+            _totals(paid.join(orders, "order_id", "left_semi"), payments=F.sum("paid")),
+            _totals(
+                people.join(orders, "customer_id", "left_semi"),
+                people__who__ordered=F.count_distinct(PERSON),
             ),
-            _totals(pays, payments=F.sum(money("payment_value", 18))),
-            _totals(people, people__who__ordered=F.count_distinct(PERSON)),
         ]
     )
 

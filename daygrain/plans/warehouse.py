@@ -3,16 +3,19 @@
 The warehouse is a folder per table plus one small `_CURRENT` file that names the folders in
 force. A load writes new folders next to the old ones, runs the invariants on the result, and
 replaces `_CURRENT` only if all of them hold. Until then, and after a failed load, readers see
-the previous day's state. Facts are kept by day, and a load rewrites only days it has rows for.
+the previous day's state. Facts are kept by day, or by month or year where days are small, and
+a load rewrites only the parts it has rows for.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -24,11 +27,13 @@ from daygrain.plans.gold import dim_date
 from daygrain.session import configure
 from daygrain.sinks import files
 from daygrain.sources import schemas
-from daygrain.sources.readers import read_gold_day
+from daygrain.sources.readers import no_rows, read_gold_day
 from daygrain.sources.ready import gold_days
 
 CURRENT = "_CURRENT"
-WHOLE = ""  # the one "day" of a table that is not kept by day
+WHOLE = ""  # the one part of a table that is not kept by date
+PART = "_part"
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 DIM_CUSTOMER = schemas.struct(
     "customer_sk bigint, customer_unique_id string, zip string, city string, state string, "
@@ -129,14 +134,43 @@ def apply_day(
     return {**dims, **apply_facts(stored, staged, dims["dim_customer"], version_guard)}
 
 
+def _at_once(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) -> dict:
+    """Results of independent Spark jobs, submitted together so small ones fill idle slots."""
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job))
+            for name, job in jobs.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
+class InvariantError(ValueError):
+    """A load would break an invariant; nothing of it was published."""
+
+
 class Warehouse:
-    """The published tables below one folder."""
+    """The published tables below one folder.
+
+    `grain` is how the facts are cut into parts: by day, month or year. `calendar` replaces the
+    shop's date dimension.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str, version_guard: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        version_guard: bool = False,
+        calendar: DataFrame | None = None,
+        grain: str = "day",
+    ):
         self.spark, self.folder, self.version_guard = spark, folder, version_guard
+        self.grain = GRAINS[grain]
+        self.calendar = dim_date(spark) if calendar is None else calendar
 
     def manifest(self) -> dict[str, dict[str, str]]:
-        """Table to day to folder, as last published."""
+        """Table to part to folder, as last published."""
         text = files.read_text(self.spark, files.join(self.folder, CURRENT))
         return json.loads(text) if text else {table: {} for table in TABLES}
 
@@ -144,55 +178,64 @@ class Warehouse:
         self,
         table: str,
         manifest: Mapping[str, Mapping[str, str]] | None = None,
-        days: Iterable[str] | None = None,
+        parts: Iterable[str] | None = None,
     ) -> DataFrame:
-        """A table, or only the given days of it: folders of other days are not even listed."""
+        """A table, or only the given parts of it: folders of others are not even listed."""
         folders = (manifest or self.manifest()).get(table, {})
-        wanted = [f for day, f in folders.items() if days is None or day in days]
+        wanted = [f for part, f in folders.items() if parts is None or part in parts]
         schema = TABLES[table]
         if not wanted:
-            return self.spark.createDataFrame([], schema)
-        base = files.join(self.folder, table)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", base)
-            .parquet(*[files.join(self.folder, f) for f in wanted])
-            .select(schema.fieldNames())
+            return no_rows(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(
+            *[files.join(self.folder, f) for f in wanted]
         )
 
     def tables(self, manifest: Mapping | None = None) -> dict[str, DataFrame]:
         manifest = manifest or self.manifest()
         found = {table: self.read(table, manifest) for table in TABLES}
-        return {**found, "dim_date": dim_date(self.spark)}
+        return {**found, "dim_date": self.calendar}
+
+    def _part_of(self, table: str) -> Column:
+        return F.date_format(DAY_COLUMN[table], self.grain).alias(PART)
 
     def _write(self, table: str, df: DataFrame, run: str) -> dict[str, str]:
-        """Write a table's new rows below this run's folder; returns day to folder."""
+        """Write a table's new rows below this run's folder; returns part to folder."""
         home = files.join(table, f"run={run}")
         at = files.join(self.folder, home)
-        day = DAY_COLUMN.get(table)
-        if day is None:
+        if table not in DAY_COLUMN:
             df.write.mode("overwrite").parquet(at)
             return {WHOLE: home}
-        # Rebalancing puts a day's rows together and splits a day too big for one task.
-        df.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(at)
+        # Rebalancing puts a part's rows together and splits one that is too big for a task.
+        (
+            df.withColumn(PART, self._part_of(table))
+            .hint("rebalance", PART)
+            .write.mode("overwrite")
+            .partitionBy(PART)
+            .parquet(at)
+        )
         return {
             name.split("=", 1)[1]: files.join(home, name)
             for name in files.children(self.spark, at)
-            if name.startswith(f"{day}=")
+            if name.startswith(f"{PART}=")
         }
 
-    def _touched_days(
+    def _write_all(self, frames: Mapping[str, DataFrame], run: str) -> dict[str, dict[str, str]]:
+        return _at_once(
+            self.spark, {t: lambda t=t: self._write(t, frames[t], run) for t in frames}
+        )
+
+    def _touched_parts(
         self, table: str, staged: DataFrame, manifest: Mapping[str, Mapping[str, str]]
     ) -> list[str]:
-        """Days to rewrite: those of the staged rows, and those where their keys are stored.
+        """Parts to rewrite: those of the staged rows, and those where their keys are stored.
 
         Only keys and days are read, and at most one row per calendar day is returned.
         """
-        keys, day = schemas.STAGING_KEYS[table], DAY_COLUMN[table]
-        stored = self.read(table, manifest).select(*keys, day)
-        hit = stored.join(staged.select(*keys), keys, "left_semi").select(day)
-        days = staged.select(day).unionByName(hit).distinct()
-        return [str(r[0]) for r in days.collect()]
+        keys, part = schemas.STAGING_KEYS[table], self._part_of(table)
+        stored = self.read(table, manifest).select(*keys, part)
+        hit = stored.join(staged.select(*keys), keys, "left_semi").select(PART)
+        parts = staged.select(part).unionByName(hit).distinct()
+        return [r[PART] for r in parts.collect()]
 
     def load_day(self, dt: str, gold_dir: str) -> list[str]:
         """Load one gold day; returns the tables it shipped.
@@ -205,23 +248,32 @@ class Warehouse:
         }
         before = self.manifest()
         staged = stage(spark, gold_dir, dt)
-        days = {t: self._touched_days(t, staged[t], before) for t in DAY_COLUMN if t in shipped}
-        stored = {t: self.read(t, before, days.get(t)) for t in TABLES}
+        parts = _at_once(
+            spark,
+            {
+                t: lambda t=t: self._touched_parts(t, staged[t], before)
+                for t in DAY_COLUMN
+                if t in shipped
+            },
+        )
+        stored = {t: self.read(t, before, parts.get(t)) for t in TABLES}
         after = {t: dict(before.get(t, {})) for t in TABLES}
 
         # The dimensions are written first, so that the facts read the customer versions from
         # their folder and do not run that merge again.
-        for table, df in apply_dimensions(stored, staged).items():
-            if FEED.get(table, table) in shipped:
-                after[table] = self._write(table, df, run)
+        dims = apply_dimensions(stored, staged)
+        after |= self._write_all(
+            {t: df for t, df in dims.items() if FEED.get(t, t) in shipped}, run
+        )
         people = self.read("dim_customer", after)
-        for table, df in apply_facts(stored, staged, people, self.version_guard).items():
-            if table in shipped:
-                after[table].update(self._write(table, df, run))
+        facts = apply_facts(stored, staged, people, self.version_guard)
+        facts = {t: df for t, df in facts.items() if t in shipped}
+        for table, folders in self._write_all(facts, run).items():
+            after[table].update(folders)
 
         found = checks.violations(self.tables(after))
         if found:
-            raise ValueError(f"{dt}: invariants violated, nothing published: {found}")
+            raise InvariantError(f"{dt}: invariants violated, nothing published: {found}")
         files.replace_text(spark, files.join(self.folder, CURRENT), json.dumps(after))
         return sorted(shipped)
 

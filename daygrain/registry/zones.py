@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daygrain.plans import kpi, slices
 from daygrain.plans.clean import rejected
 from daygrain.plans.gold import build_sessions
+from daygrain.plans.warehouse import InvariantError, Warehouse
 from daygrain.registry.base import query, when
 from daygrain.registry.merging import EVENTS_STORED_UPTO
 from daygrain.registry.star import Star
@@ -368,3 +369,68 @@ def streamed_days(star: Star):
     stream = run_ready_days(notices(star.spark, inbox), on_day, files.join(base, "checkpoint"))
     stream.awaitTermination()
     return read_partitions(star.spark, done, "dt").select("dt")
+
+
+@query(
+    "k12_publish",
+    """
+SELECT 'fact_orders' AS "table", count(*) AS rows, sum(payment_value)::DOUBLE AS amount
+FROM s_gold_orders
+UNION ALL SELECT 'fact_order_items', count(*), sum(price)::DOUBLE FROM s_gold_items
+UNION ALL SELECT 'fact_sessions', count(*), sum(n_events)::DOUBLE FROM s_sessions
+UNION ALL SELECT 'dim_customer', count(DISTINCT customer_unique_id), 0 FROM s_gold_orders
+UNION ALL SELECT 'dim_product', count(*), 0 FROM s_dim_product
+UNION ALL SELECT 'dim_seller', count(*), 0 FROM s_sellers""",
+)
+def published(star: Star):
+    """A load that passes the checks, then one that does not: readers still see the first.
+
+    The second load ships the orders without their items' value, so totals and items disagree.
+    """
+    spark, base = star.spark, shared_dir(star.spark, "warehouse")
+    gold, first, second = files.join(base, "gold"), "2024-02-01", "2024-02-02"
+    earliest = star.feed.groupBy("customer_unique_id").agg(
+        F.min_by(F.struct("zip", "city", "state"), "effective_date").alias("a"),
+        F.min("effective_date").alias("effective_date"),
+    )
+    people = earliest.select(
+        "customer_unique_id", "a.zip", "a.city", "a.state", "effective_date"
+    )
+    frames = {
+        "dim_product": star.dim_product,
+        "dim_seller": star.dim_seller,
+        "customer_feed": people,
+        "fact_orders": star.gold_orders,
+        "fact_order_items": star.gold_items,
+        "fact_sessions": star.sessions,
+    }
+    for table, df in frames.items():
+        write_gold(spark, df.select(schemas.GOLD[table].fieldNames()), gold, table, first)
+    broken = star.gold_orders.withColumn("items_value", F.lit(0).cast("decimal(12,2)"))
+    write_gold(
+        spark, broken.select(schemas.GOLD["fact_orders"].fieldNames()), gold, "fact_orders", second
+    )
+    warehouse = Warehouse(spark, files.join(base, "warehouse"), calendar=star.dim_date, grain="year")
+    warehouse.load_day(first, gold)
+    try:
+        warehouse.load_day(second, gold)
+    except InvariantError:
+        pass
+    else:
+        raise AssertionError("a load that breaks the totals was published")
+    amount = {
+        "fact_orders": F.sum("payment_value"),
+        "fact_order_items": F.sum("price"),
+        "fact_sessions": F.sum("n_events"),
+    }
+    rows = [
+        warehouse.read(table)
+        .agg(
+            F.count("*").alias("rows"),
+            amount.get(table, F.lit(0)).cast("double").alias("amount"),
+        )
+        .select(F.lit(table).alias("table"), "*")
+        for table in ("fact_orders", "fact_order_items", "fact_sessions", "dim_customer",
+                      "dim_product", "dim_seller")
+    ]
+    return reduce(DataFrame.unionByName, rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daygrain.sinks import files
 from daygrain.sources import schemas
@@ -97,6 +98,12 @@ def read_events_upto(spark: SparkSession, clean: str, dt: str) -> DataFrame | No
     return _with_text_partition(events, "ingest_dt")
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame the optimizer knows to be empty, so it drops what depends on it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 def read_gold_day(spark: SparkSession, gold: str, table: str, dt: str) -> DataFrame:
     """One gold folder in staging column order, empty if the day has none.
 
@@ -105,5 +112,5 @@ def read_gold_day(spark: SparkSession, gold: str, table: str, dt: str) -> DataFr
     schema = schemas.GOLD[table]
     folder = files.join(gold, table, f"dt={dt}")
     if not files.exists(spark, folder):
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.schema(schema).parquet(folder).select(schema.fieldNames())

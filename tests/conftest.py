@@ -11,6 +11,8 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
+            # Tiny tables: compiling every plan would take most of the time.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -99,7 +99,7 @@ def test_as_of_never_compares_facts_with_versions_pairwise(spark):
     df = spark.createDataFrame([("u1", day(2))], "customer_unique_id string, on_day date")
     plan = as_of(df, dim, "on_day")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
-    assert len(joins) == 1 and ">=" not in joins[0] and "on_day" in joins[0]
+    assert joins and not any(">=" in j or "Cross" in j for j in joins)
 
 
 def test_overlapping_pairs_against_brute_force(spark):
