@@ -12,7 +12,7 @@ from pyspark.sql.types import TimestampType
 from daygrain.functions.time import LOCAL_ZONE, parse_ts, utc
 from daygrain.operators import quality
 from daygrain.operators.copies import dedupe
-from daygrain.session import configure
+from daygrain.session import configure, millisecond_timestamps
 from daygrain.sinks import files
 from daygrain.sinks.partitions import write_partition
 from daygrain.sinks.watermark import Watermarks, advance
@@ -104,22 +104,18 @@ def run(
     configure(spark)
     rules = quality.load_rules(rules_path or quality.DEFAULT_RULES)
     store = watermarks or Watermarks(spark, files.join(lake_dir, "watermarks"))
+    clean_dir = clean_dir or files.join(lake_dir, "clean")
+    quarantine_dir = quarantine_dir or files.join(lake_dir, "quarantine")
     done = []
-    for name in tables or (schemas.EVENTS, *(t for t in schemas.TABLES if t != schemas.EVENTS)):
-        src = files.join(raw_dir, f"dt={dt}", name)
-        if files.exists(spark, src):
-            done.append(
-                process_table(
-                    spark,
-                    name,
-                    dt,
-                    src,
-                    clean_dir or files.join(lake_dir, "clean"),
-                    quarantine_dir or files.join(lake_dir, "quarantine"),
-                    rules,
-                    store,
+    with millisecond_timestamps(spark):
+        for name in tables or (schemas.EVENTS, *(t for t in schemas.TABLES if t != schemas.EVENTS)):
+            src = files.join(raw_dir, f"dt={dt}", name)
+            if files.exists(spark, src):
+                done.append(
+                    process_table(
+                        spark, name, dt, src, clean_dir, quarantine_dir, rules, store
+                    )
                 )
-            )
     return done
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def millisecond_timestamps(spark: SparkSession):
+    """Write Parquet timestamps in milliseconds, which external readers share, inside the block."""
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "TIMESTAMP_MILLIS")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_session(app: str = "daygrain", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
