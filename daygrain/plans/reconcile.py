@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,10 +41,40 @@ def in_window(orders: DataFrame, first: str, last: str) -> DataFrame:
     return orders.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
+def with_verdict(orders: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Order and customer ids with `accepted`: whether quality rules let the order pass."""
+    rejected = quarantine.select("order_id").distinct().withColumn("_rejected", F.lit(True))
+    return orders.select("order_id", "customer_id").join(rejected, "order_id", "left").select(
+        "order_id", "customer_id", F.col("_rejected").isNull().alias("accepted")
+    )
+
+
+def _source_and_kept(
+    df: DataFrame, **values: tuple[Callable[[Column], Column], Column]
+) -> DataFrame:
+    """Rows (check, source, kept): each aggregate over all rows and over the accepted ones."""
+    none = F.lit(0).cast(AMOUNT)
+    sums, rows = [], []
+    for name, (aggregate, value) in values.items():
+        for side, over in (("all", value), ("kept", F.when(F.col("accepted"), value))):
+            sums.append(F.coalesce(aggregate(over).cast(AMOUNT), none).alias(f"{name}_{side}"))
+        rows.append(
+            F.struct(
+                F.lit(name.replace("__", " ")).alias("check"),
+                F.col(f"{name}_all").alias("source"),
+                F.col(f"{name}_kept").alias("kept"),
+            )
+        )
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def source_metrics(
     orders: DataFrame, items: DataFrame, payments: DataFrame, snapshots: DataFrame
 ) -> DataFrame:
-    """The six totals of a set of source orders; everything is summed per order first."""
+    """The six totals of source orders `with_verdict`, of all and of the accepted ones.
+
+    Everything is summed per order first, and both sides come out of one pass.
+    """
     per_order = items.groupBy("order_id").agg(
         _rows().alias("n"),
         F.sum(money("price", 18)).alias("price"),
@@ -54,17 +84,17 @@ def source_metrics(
     people = snapshots.select("customer_id", PERSON).distinct()
     return _union(
         [
-            _totals(orders, orders=_rows()),
-            _totals(
-                per_order.join(orders, "order_id", "left_semi"),
-                order__items=F.sum("n"),
-                items__value=F.sum("price"),
-                freight__value=F.sum("freight"),
+            _source_and_kept(orders, orders=(F.sum, F.lit(1))),
+            _source_and_kept(
+                per_order.join(orders, "order_id"),
+                order__items=(F.sum, F.col("n")),
+                items__value=(F.sum, F.col("price")),
+                freight__value=(F.sum, F.col("freight")),
             ),
-            _totals(paid.join(orders, "order_id", "left_semi"), payments=F.sum("paid")),
-            _totals(
-                people.join(orders, "customer_id", "left_semi"),
-                people__who__ordered=F.count_distinct(PERSON),
+            _source_and_kept(paid.join(orders, "order_id"), payments=(F.sum, F.col("paid"))),
+            _source_and_kept(
+                people.join(orders, "customer_id"),
+                people__who__ordered=(F.count_distinct, F.col(PERSON)),
             ),
         ]
     )
@@ -89,7 +119,7 @@ def warehouse_metrics(t: Tables) -> DataFrame:
 def direct_metrics(
     events: DataFrame, products: DataFrame, sellers: DataFrame, t: Tables
 ) -> tuple[DataFrame, DataFrame]:
-    """Sessions, products and sellers: (source, warehouse)."""
+    """Sessions, products and sellers, of which none is rejected here: (source, warehouse)."""
     source = [
         _totals(events, sessions=F.count_distinct("session_id")),
         _totals(products, products=_rows()),
@@ -100,26 +130,23 @@ def direct_metrics(
         _totals(t["dim_product"], products=_rows()),
         _totals(t["dim_seller"], sellers=_rows()),
     ]
-    return _union(source), _union(loaded)
+    value = F.col("value")
+    direct = _union(source).select("check", value.alias("source"), value.alias("kept"))
+    return direct, _union(loaded)
 
 
-def three_way(source: DataFrame, accepted: DataFrame, loaded: DataFrame) -> DataFrame:
+def three_way(source: DataFrame, loaded: DataFrame) -> DataFrame:
     """Source, what quality rules rejected, and the warehouse, per metric.
 
     PASS means that the source without the rejected rows is what the warehouse has.
     """
-    kept, got = F.col("k.value"), F.col("w.value")
-    return (
-        source.alias("s")
-        .join(accepted.alias("k"), "check")
-        .join(loaded.alias("w"), "check")
-        .select(
-            "check",
-            F.col("s.value").alias("source"),
-            (F.col("s.value") - kept).cast(AMOUNT).alias("rejected"),
-            got.alias("warehouse"),
-            F.when(F.abs(kept - got) < 0.005, "PASS").otherwise("FAIL").alias("result"),
-        )
+    kept, got = F.col("kept"), F.col("value")
+    return source.join(loaded, "check").select(
+        "check",
+        "source",
+        (F.col("source") - kept).cast(AMOUNT).alias("rejected"),
+        got.alias("warehouse"),
+        F.when(F.abs(kept - got) < 0.005, "PASS").otherwise("FAIL").alias("result"),
     )
 
 

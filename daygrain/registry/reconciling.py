@@ -63,20 +63,20 @@ SELECT "check", s.value::DOUBLE AS source, (s.value - k.value)::DOUBLE AS reject
 FROM s_source_totals s JOIN s_kept_totals k USING ("check") JOIN s_warehouse_totals w USING ("check")""",
 )
 def three_way(star: Star):
-    window = reconcile.in_window(star.orders, FIRST, LAST)
-    kept = window.join(star.quarantined_orders, "order_id", "left_anti")
+    window = reconcile.in_window(star.order_heads, FIRST, LAST)
     tables = star.warehouse
     direct, loaded = reconcile.direct_metrics(
         star.clean_events, star.products, star.sellers, tables
     )
-
-    def totals(orders):
-        return reconcile.source_metrics(
-            orders, star.order_items, star.order_payments, star.customer_snapshots
-        ).unionByName(direct)
-
-    warehouse = reconcile.warehouse_metrics(tables).unionByName(loaded)
-    return reconcile.three_way(totals(window), totals(kept), warehouse)
+    totals = reconcile.source_metrics(
+        reconcile.with_verdict(window, star.quarantined_orders),
+        star.order_items,
+        star.order_payments,
+        star.customer_snapshots,
+    )
+    return reconcile.three_way(
+        totals.unionByName(direct), reconcile.warehouse_metrics(tables).unionByName(loaded)
+    )
 
 
 @query(
@@ -87,7 +87,7 @@ WHERE dq_reason <> '' AND order_id IN (SELECT order_id FROM s_window)""",
 )
 def rejected(star: Star):
     return reconcile.rejected_orders(
-        star.quarantined_orders, reconcile.in_window(star.orders, FIRST, LAST)
+        star.quarantined_orders, reconcile.in_window(star.order_heads, FIRST, LAST)
     )
 
 
@@ -211,6 +211,7 @@ SELECT o.order_id, o.customer_unique_id, {when("o.order_purchase_timestamp")} AS
 FROM s_window o LEFT JOIN s_items i ON i.order_id = o.order_id AND i.order_item_id = 1""",
 )
 def converting(star: Star):
+    orders = star.order_heads.select("order_id", "customer_id", "order_purchase_timestamp")
     return reconcile.converting_orders(
-        star.orders, star.customer_snapshots, star.order_items, FIRST, LAST
+        orders, star.customer_snapshots, star.order_items, FIRST, LAST
     )
