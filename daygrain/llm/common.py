@@ -41,10 +41,10 @@ class Scratch:
         self._remove(f"{self.path}/{name}")
 
     def _remove(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        if jvm is not None:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        context = self.spark.sparkContext
+        if context._jsc is not None:
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrain.llm import exact_dedup, mixing
+from daygrain.llm import exact_dedup, mixing, near_dedup
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -107,3 +107,8 @@ def _time_sql() -> str:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with what the mix takes of them, in training order."""
     return mixing.mix(table(spark, folder, "documents")).orderBy("position", "doc_id")
+
+
+@query("op3_near_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"))
