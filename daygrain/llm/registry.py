@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, mixing, near_dedup
+from daygrain.llm import exact_dedup, language, mixing, near_dedup, quality
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -112,3 +113,21 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_near_dedup")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labelled = language.label(docs, language.train(docs))
+    return labelled.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"),
+    )

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 21
+BLOCK_ROWS = 1024
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -67,13 +68,13 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets) for runs of rows of about `size` bytes."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) for runs of at most `rows` rows of about `size` bytes."""
     data, offsets = buffers(column)
     n, start = len(offsets) - 1, 0
     while start < n:
         end = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
-        end = min(n, max(end, start + 1))
+        end = min(n, start + rows, max(end, start + 1))
         yield start, end, data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
         start = end
 
