@@ -50,11 +50,7 @@ class Scratch:
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """The keys with more than one row in `HOT_SHARE`, fewer than `HOT_SHARE` of them. NULL is none."""
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    return (
-        counts.join(F.broadcast(total), F.col("n") * HOT_SHARE > F.col("total"))
-        .select(key)
-    )
+    return counts.where(F.col("n") * HOT_SHARE > F.lit(rows.count())).select(key)
 
 
 def attach(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:

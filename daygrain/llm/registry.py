@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, language, mixing, near_dedup, quality
+from daygrain.llm import exact_dedup, fingerprint, language, mixing, near_dedup, quality, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -131,3 +131,89 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
         F.size("spans").alias("n_spans"),
     )
+
+
+@query("op6_fingerprint")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, folder, "documents"))
+
+
+@query(
+    "op10_url_filter",
+    rf"""
+    WITH cut AS (
+        SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+    ), parsed AS (
+        SELECT page_id,
+               translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM cut
+    ), outcomes AS (
+        SELECT doc_id::VARCHAR AS id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good FROM labels GROUP BY 1
+    ), rows AS (
+        SELECT p.*, o.good FROM parsed p LEFT JOIN outcomes o ON regexp_extract(p.path, '/([0-9]+)(?:\.html|/)?$', 1) = o.id
+    ), hosts AS (
+        SELECT host, count(good) AS n, coalesce(sum(good), 0)::DOUBLE AS good,
+               CASE WHEN regexp_extract(host, '([^.]*\.[^.]*)$', 1) IN ({", ".join(repr(s) for s in url_filter.TWO_LABEL_SUFFIXES)})
+                    THEN 2 ELSE 1 END AS deep
+        FROM rows GROUP BY host
+    ), named AS (
+        SELECT host, n, good,
+               array_to_string(string_split(host, '.')[-(deep + 1):], '.') AS domain,
+               array_to_string(string_split(host, '.')[-deep:], '.') AS suffix
+        FROM hosts
+    ), corpus AS (SELECT coalesce(sum(good) / nullif(sum(n), 0), 1.0) AS parent FROM named
+    ), by_suffix AS (
+        SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(parent) AS parent FROM named, corpus GROUP BY suffix
+    ), k_suffix AS ({{k:by_suffix}}), m_suffix AS (
+        SELECT suffix, (good + k * parent) / (n + k) AS parent FROM by_suffix, k_suffix
+    ), by_domain AS (
+        SELECT domain, suffix, sum(n) AS n, sum(good) AS good, any_value(parent) AS parent
+        FROM named JOIN m_suffix USING (suffix) GROUP BY domain, suffix
+    ), k_domain AS ({{k:by_domain}}), m_domain AS (
+        SELECT domain, suffix, (good + k * parent) / (n + k) AS parent FROM by_domain, k_domain
+    ), by_host AS (SELECT named.*, parent FROM named JOIN m_domain USING (domain, suffix)
+    ), k_host AS ({{k:by_host}}), posterior AS (
+        SELECT host, n + k AS size, (good + k * parent) / (n + k) AS mean FROM by_host, k_host
+    ), rules(rule_host, rule_path, said) AS (
+        VALUES {", ".join(map(repr, url_filter.RULES))}
+    ), fitting AS (
+        SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+               arg_max(said, length(rule_host || rule_path)) AS said
+        FROM (SELECT DISTINCT page_id, host, path FROM rows) JOIN rules
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY ALL
+    )
+    SELECT r.page_id, r.host, r.path, f.rule,
+           coalesce(f.said, CASE WHEN p.mean + {url_filter.BOUND} * sqrt(p.mean * (1 - p.mean) / (p.size + 1)) < {url_filter.MIN_GOOD}
+                                 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM rows r JOIN posterior p USING (host)
+    LEFT JOIN fitting f ON f.page_id = r.page_id AND f.host = r.host AND f.path = r.path
+    """,
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's number in its path is the document it shows; that document's labels are its outcome."""
+    pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    outcomes = labels.groupBy(F.col("doc_id").cast("string").alias("shows")).agg(F.min(good).alias("outcome"))
+    _, path = url_filter.host_and_path(F.col("url"))
+    shows = F.regexp_extract(path, r"/([0-9]+)(?:\.html|/)?$", 1)
+    labelled = pages.select("page_id", "url", shows.alias("shows")).join(outcomes, "shows", "left")
+    judged = url_filter.judge(labelled, url_filter.rule_table(spark), outcome="outcome")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _strength_sql(groups: str) -> str:
+    """`url_filter._strength` over a table with n, good and parent."""
+    spread = (
+        "sum((good - n * parent) ** 2 - n * (parent * (1 - parent)))"
+        " / nullif(sum(n * (n - 1) * (parent * (1 - parent))), 0)"
+    )
+    return (
+        f"SELECT least(greatest(CASE WHEN spread > 0 THEN 1 / spread - 1 ELSE {url_filter.STRONGEST} END,"
+        f" {url_filter.WEAKEST}), {url_filter.STRONGEST}) AS k FROM (SELECT {spread} AS spread FROM {groups})"
+    )
+
+
+for _level in ("by_suffix", "by_domain", "by_host"):
+    ORACLES["op10_url_filter"] = ORACLES["op10_url_filter"].replace(f"{{k:{_level}}}", _strength_sql(_level))
