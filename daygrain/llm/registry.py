@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, fingerprint, language, mixing, near_dedup, quality, url_filter
+from daygrain.llm import exact_dedup, fingerprint, language, mixing, near_dedup, pieces, quality, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -217,3 +217,14 @@ def _strength_sql(groups: str) -> str:
 
 for _level in ("by_suffix", "by_domain", "by_host"):
     ORACLES["op10_url_filter"] = ORACLES["op10_url_filter"].replace(f"{{k:{_level}}}", _strength_sql(_level))
+
+
+@query("op9_pieces")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's ids, decoded again: `round_trip` says that the decoded text is the text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    decoded = pieces.decode_column(pieces.encode(docs))
+    return decoded.select(
+        "doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
