@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Words whose pieces a task remembers, and the pieces per remembered word at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 REMEMBERED_PIECES = 64
+# Pairs of pieces a task remembers.
+REMEMBERED_PAIRS = 400_000
 # Rows worked on at once, and characters.
 _ROWS, _CHARS = 1024, 1 << 21
 
@@ -49,10 +51,8 @@ class Vocabulary:
     scores: dict[str, float]
     byte_ids: list[int]
     texts: list[bytes]
-    unknown: int
-    longest: int = 1
     joinable: frozenset = frozenset()
-    _whole: dict[str, bool] = field(default_factory=dict)
+    whole: frozenset = frozenset()  # pieces whose own text merges to them
     _apart: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     @classmethod
@@ -71,10 +71,9 @@ class Vocabulary:
             else:
                 ids[piece], scores[piece] = k, model.get_score(k)
                 texts.append(piece.replace(MARK, " ").encode())
-        several = [p for p in ids if len(p) > 1]
-        return cls(
-            ids, scores, byte_ids, texts, model.unk_id(), max(map(len, ids), default=1), frozenset("".join(several))
-        )
+        out = cls(ids, scores, byte_ids, texts, frozenset("".join(p for p in ids if len(p) > 1)))
+        out.whole = frozenset(p for p in ids if len(out.merge(p)) == 1)
+        return out
 
     def merge(self, text: str) -> list[str]:
         """Merge neighbours with the best score until none is a piece: the definition, by brute force."""
@@ -90,47 +89,48 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def whole(self, piece: str) -> bool:
-        """Whether the piece's own text merges to it."""
-        found = self._whole.get(piece)
-        if found is None:
-            found = self._whole[piece] = len(self.merge(piece)) == 1
-        return found
-
     def apart(self, left: str, right: str) -> bool:
         """Whether the two pieces stay apart when their texts meet."""
-        found = self._apart.get((left, right))
-        if found is None:
-            found = self.merge(left + right) == [left, right]
-            if len(self._apart) < 2_000_000:
-                self._apart[left, right] = found
+        found = self.merge(left + right) == [left, right]
+        if len(self._apart) < REMEMBERED_PAIRS:
+            self._apart[left, right] = found
         return found
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[str]]:
         """The pieces of each word; words in sorted order share the states of common prefixes."""
-        ids, longest = self.ids, self.longest
+        whole, known = self.whole, self._apart
         before = ""
         last: list[str] = [""]  # the last piece of the segmentation of each prefix
         for word in words:
             common = 0
-            top = min(len(before), len(word))
-            while common < top and before[common] == word[common]:
+            for a, b in zip(before, word):
+                if a != b:
+                    break
                 common += 1
             del last[common + 1 :]
             for end in range(common + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                # Exactly one piece that ends here fits; short ones are the likely ones.
+                start = end - 1
+                piece = word[start]
+                while start:
+                    if piece in whole or start == end - 1:
+                        left = last[start]
+                        fits = known.get((left, piece))
+                        if fits is None:
+                            fits = self.apart(left, piece)
+                        if fits:
+                            break
+                    start -= 1
                     piece = word[start:end]
-                    if (piece in ids or end == start + 1) and self.whole(piece) and (
-                        start == 0 or self.apart(last[start], piece)
-                    ):
-                        last.append(piece)
-                        break
+                last.append(piece)
             pieces, end = [], len(word)
             while end:
-                pieces.append(last[end])
-                end -= len(last[end])
+                piece = last[end]
+                pieces.append(piece)
+                end -= len(piece)
             before = word
-            yield pieces[::-1]
+            pieces.reverse()
+            yield pieces
 
     def number(self, pieces: list[str]) -> list[int]:
         out = []
