@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, fingerprint, language, mixing, near_dedup, pieces, quality, url_filter
+from daygrain.llm import exact_dedup, fingerprint, html_text, language, mixing, near_dedup, pieces, quality, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -228,3 +228,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
