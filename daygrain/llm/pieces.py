@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Words whose pieces a task remembers, and the pieces per remembered word at most.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 REMEMBERED_PIECES = 64
 # Pairs of pieces a task remembers.
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 250_000
 # Rows worked on at once, and characters.
-_ROWS, _CHARS = 1024, 1 << 21
+_ROWS, _CHARS = 512, 1 << 20
 
 
 @dataclass
