@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, fingerprint, html_text, language, mixing, near_dedup, pieces, quality, url_filter
+from daygrain.llm import exact_dedup, fingerprint, html_text, language, mixing, near_dedup, passages, pieces, quality, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -233,3 +233,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_html_text")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op7_repeated_passages")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
