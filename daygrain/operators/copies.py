@@ -13,9 +13,9 @@ def _columns(keys: str | Sequence[str]) -> list[str]:
 
 
 def _total_order(df: DataFrame, order_by: Sequence[Column | str]) -> list[Column]:
-    """The caller's order, ties broken by row content. Rows still tied are identical."""
+    """The caller's order, ties broken by the columns themselves. Rows still tied are identical."""
     given = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    return [*given, F.xxhash64(*df.columns)]
+    return [*given, *[F.col(f"`{c}`").asc_nulls_first() for c in df.columns]]
 
 
 def mark_copies(
@@ -40,7 +40,7 @@ def mark_copies(
         .withColumn(local, F.row_number().over(Window.partitionBy(*keys, part).orderBy(*order)))
         .withColumn(lane, F.when(F.col(local) == 1, -1).otherwise(F.col(part)))
         .withColumn(
-            overall, F.row_number().over(Window.partitionBy(*keys, lane).orderBy(*order, part))
+            overall, F.row_number().over(Window.partitionBy(*keys, lane).orderBy(*order))
         )
     )
     keyed = F.lit(True)

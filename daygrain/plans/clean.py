@@ -102,7 +102,7 @@ def run(
 ) -> list[dict]:
     """Clean every table the day shipped; a table that is not in the drop is skipped."""
     configure(spark)
-    rules = quality.load_rules(rules_path or quality.DEFAULT_RULES)
+    rules = quality.load_rules(rules_path, spark) if rules_path else quality.load_rules()
     store = watermarks or Watermarks(spark, files.join(lake_dir, "watermarks"))
     clean_dir = clean_dir or files.join(lake_dir, "clean")
     quarantine_dir = quarantine_dir or files.join(lake_dir, "quarantine")

@@ -9,7 +9,7 @@ from daygrain.functions.time import date_key, iso_weekday, local_date
 from daygrain.functions.values import lookup, money, zip_code
 from daygrain.operators.copies import keep_first
 from daygrain.operators.lookup import attach
-from daygrain.session import configure
+from daygrain.session import configure, millisecond_timestamps
 from daygrain.sinks.partitions import write_gold
 from daygrain.sources import schemas
 from daygrain.sources.readers import read_day, read_events_upto
@@ -37,20 +37,14 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     return keep_first(events, "event_id", ["ingest_dt", "event_ts"])
 
 
-def build_sessions(
-    events: DataFrame, dt: str | None = None, lookback_days: int | None = None
-) -> DataFrame:
+def build_sessions(events: DataFrame, dt: str | None = None) -> DataFrame:
     """Sessions that day `dt` brought an event for, each from all its events up to `dt`.
 
     Every row is complete, so a load may replace the stored one. Without `dt` all sessions are
     returned. A stage counts as reached when a later one was, even if its own event is missing.
-    `lookback_days` bounds the history read; the default reads all of it.
     """
     if dt is not None:
         events = events.where(F.col("ingest_dt") <= dt)
-        if lookback_days is not None:
-            first = F.date_sub(F.lit(dt).cast("date"), lookback_days).cast("string")
-            events = events.where(F.col("ingest_dt") >= first)
     # Ties between copies are broken by all columns, so only those a session needs are kept.
     events = events.select(*SESSION_INPUT)
     rank = lookup(STAGES, "event_type")
@@ -260,9 +254,7 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-def run(
-    spark: SparkSession, dt: str, clean: str, gold_dir: str, lookback_days: int | None = None
-) -> dict[str, int]:
+def run(spark: SparkSession, dt: str, clean: str, gold_dir: str) -> dict[str, int]:
     """Write the day's gold folders; returns their rows plus the items dropped without order."""
     configure(spark)
     day = {
@@ -290,9 +282,10 @@ def run(
         out["dim_seller"] = build_dim_seller(day["sellers"])
     events = read_events_upto(spark, clean, dt)
     if events is not None:
-        out["fact_sessions"] = build_sessions(events, dt, lookback_days)
+        out["fact_sessions"] = build_sessions(events, dt)
 
-    rows = {table: write_gold(spark, df, gold_dir, table, dt) for table, df in out.items()}
+    with millisecond_timestamps(spark):
+        rows = {table: write_gold(spark, df, gold_dir, table, dt) for table, df in out.items()}
     if orders is not None:
         rows["items_without_order"] = items_without_order(orders, items).count()
     return rows

@@ -24,7 +24,7 @@ from daygrain.operators.merge import upsert
 from daygrain.operators.versions import SURROGATE, apply_feed, as_of
 from daygrain.plans import checks
 from daygrain.plans.gold import dim_date
-from daygrain.session import configure
+from daygrain.session import configure, millisecond_timestamps
 from daygrain.sinks import files
 from daygrain.sources import schemas
 from daygrain.sources.readers import no_rows, read_gold_day
@@ -259,21 +259,27 @@ class Warehouse:
         stored = {t: self.read(t, before, parts.get(t)) for t in TABLES}
         after = {t: dict(before.get(t, {})) for t in TABLES}
 
-        # The dimensions are written first, so that the facts read the customer versions from
-        # their folder and do not run that merge again.
-        dims = apply_dimensions(stored, staged)
-        after |= self._write_all(
-            {t: df for t, df in dims.items() if FEED.get(t, t) in shipped}, run
-        )
-        people = self.read("dim_customer", after)
-        facts = apply_facts(stored, staged, people, self.version_guard)
-        facts = {t: df for t, df in facts.items() if t in shipped}
-        for table, folders in self._write_all(facts, run).items():
-            after[table].update(folders)
+        with millisecond_timestamps(spark):
+            # The dimensions are written first, so that the facts read the customer versions from
+            # their folder and do not run that merge again.
+            dims = apply_dimensions(stored, staged)
+            after |= self._write_all(
+                {t: df for t, df in dims.items() if FEED.get(t, t) in shipped}, run
+            )
+            people = self.read("dim_customer", after)
+            facts = apply_facts(stored, staged, people, self.version_guard)
+            facts = {t: df for t, df in facts.items() if t in shipped}
+            for table, folders in self._write_all(facts, run).items():
+                # A part whose last row moved to another part has no folder any more.
+                for part in parts[table]:
+                    after[table].pop(part, None)
+                after[table].update(folders)
 
         found = checks.violations(self.tables(after))
         if found:
             raise InvariantError(f"{dt}: invariants violated, nothing published: {found}")
+        if self.manifest() != before:
+            raise RuntimeError(f"{dt}: another load was published meanwhile, nothing published")
         files.replace_text(spark, files.join(self.folder, CURRENT), json.dumps(after))
         return sorted(shipped)
 

@@ -48,6 +48,7 @@ def read_text_table(spark: SparkSession, name: str, path: str) -> DataFrame:
         reader.option("header", True)
         .option("escape", '"')
         .option("multiLine", name in schemas.FREE_TEXT)
+        .option("enforceSchema", False)
         .csv(path)
     )
 
