@@ -30,8 +30,9 @@ def test_run_gives_what_the_stages_give_by_hand(spark):
     con = duckdb.connect()
     con.register("documents", pa.Table.from_pylist([r.asDict() for r in kept]))
     turns = Counter()
-    for r in con.execute(ORACLES["op5_curriculum_mix"]).fetch_arrow_table().to_pylist():
-        turns[r["doc_id"]] = -(-r["taken"] // r["size"]) if r["size"] else 0
+    mixed = con.execute(f"SELECT doc_id, size, taken FROM ({ORACLES['op5_curriculum_mix']})").fetchall()
+    for doc_id, size, taken in mixed:
+        turns[doc_id] = -(-taken // size) if size else 0
     got = corpus_pipeline.run(spark, FOLDER).collect()
     assert Counter(r.doc_id for r in got) == +turns
     reference = library.SentencePieceProcessor(model_file=pieces.MODEL)
