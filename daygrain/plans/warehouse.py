@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrain.operators.copies import require_unique
 from daygrain.operators.merge import upsert
@@ -36,13 +36,13 @@ PART = "_part"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 DIM_CUSTOMER = schemas.struct(
-    "customer_sk bigint, customer_unique_id string, zip string, city string, state string, "
+    "customer_sk string, customer_unique_id string, zip string, city string, state string, "
     "valid_from date, valid_to date, is_current boolean"
 )
 
 
 def _with_surrogate(table: str) -> StructType:
-    return StructType([*schemas.GOLD[table].fields, StructField(SURROGATE, LongType())])
+    return StructType([*schemas.GOLD[table].fields, StructField(SURROGATE, StringType())])
 
 
 TABLES: dict[str, StructType] = {
@@ -153,8 +153,8 @@ class InvariantError(ValueError):
 class Warehouse:
     """The published tables below one folder.
 
-    `grain` is how the facts are cut into parts: by day, month or year. `calendar` replaces the
-    shop's date dimension.
+    `grain` is how the facts are cut into parts: by day, month or year, for all of them or by
+    table. `calendar` replaces the shop's date dimension.
     """
 
     def __init__(
@@ -163,10 +163,11 @@ class Warehouse:
         folder: str,
         version_guard: bool = False,
         calendar: DataFrame | None = None,
-        grain: str = "day",
+        grain: str | Mapping[str, str] = "day",
     ):
         self.spark, self.folder, self.version_guard = spark, folder, version_guard
-        self.grain = GRAINS[grain]
+        per_table = dict.fromkeys(DAY_COLUMN, grain) if isinstance(grain, str) else grain
+        self.grain = {t: GRAINS[per_table.get(t, "day")] for t in DAY_COLUMN}
         self.calendar = dim_date(spark) if calendar is None else calendar
 
     def manifest(self) -> dict[str, dict[str, str]]:
@@ -196,7 +197,7 @@ class Warehouse:
         return {**found, "dim_date": self.calendar}
 
     def _part_of(self, table: str) -> Column:
-        return F.date_format(DAY_COLUMN[table], self.grain).alias(PART)
+        return F.date_format(DAY_COLUMN[table], self.grain[table]).alias(PART)
 
     def _write(self, table: str, df: DataFrame, run: str) -> dict[str, str]:
         """Write a table's new rows below this run's folder; returns part to folder."""

@@ -9,6 +9,7 @@ from daygrain.registry import (  # noqa: F401
     quality,
     reconciling,
     reports,
+    runs,
     scalars,
     zones,
 )

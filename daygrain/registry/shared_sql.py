@@ -125,9 +125,7 @@ define(
     f"""
 SELECT *, {to_utc("try_cast(event_ts_raw AS TIMESTAMP)")} AS event_ts FROM s_events""",
 )
-define(
-    "s_tagged_events",
-    """
+_TAGGED = """
 SELECT *, concat_ws(',',
     CASE WHEN event_id IS NULL THEN 'null:event_id' END,
     CASE WHEN session_id IS NULL THEN 'null:session_id' END,
@@ -139,9 +137,11 @@ SELECT *, concat_ws(',',
     CASE WHEN event_ts < TIMESTAMP '2023-01-01' OR event_ts > TIMESTAMP '2025-01-01'
          THEN 'out_of_range:event_ts' END,
     CASE WHEN event_id IS NOT NULL AND copy > 1 THEN 'duplicate:event_id' END) AS dq_reason
-FROM (SELECT *, row_number() OVER (PARTITION BY ingest_dt, event_id ORDER BY event_ts) AS copy
-      FROM s_prepared)""",
-)
+FROM (SELECT *, row_number() OVER (PARTITION BY {within}event_id ORDER BY event_ts) AS copy
+      FROM s_prepared)"""
+define("s_tagged_events", _TAGGED.format(within="ingest_dt, "))
+# All arrivals shipped as one day's drop.
+define("s_drop_events", _TAGGED.format(within=""))
 define(
     "s_clean_events",
     "SELECT * FROM s_tagged_events WHERE dq_reason = ''",

@@ -7,6 +7,7 @@ executor is lost.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import cached_property
 
@@ -23,18 +24,29 @@ from daygrain.sources import schemas
 from daygrain.sources.readers import read_text_table
 from daygrain.sources.shop import EVENT_RANGE, Shop
 
-# (application, source folder, table) to the folder it was written to.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+# (application, source folder and its state, table) to the folder it was written to.
+_WRITTEN: dict[tuple, str] = {}
+_WRITING = threading.RLock()
+
+# Lines of a shipped text file: gzip cannot be split, so a file is the work of one task.
+LINES_PER_FILE = 100_000
 
 
 class Star(Shop):
-    def _written(self, name: str, write: Callable[[str], None]) -> str:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        path = _WRITTEN.get(key)
-        if path is None or not files.exists(self.spark, files.join(path, "_SUCCESS")):
-            path = shared_dir(self.spark, name)
-            write(path)
-            _WRITTEN[key] = path
+    @cached_property
+    def source_state(self) -> tuple:
+        """Changes when a source table does, so that no query is answered from an older lake."""
+        return files.state(self.spark, self.folder)
+
+    def written(self, name: str, write: Callable[[str], None]) -> str:
+        """The folder `write` filled for this source and application; threads take turns."""
+        key = (self.spark.sparkContext.applicationId, self.folder, self.source_state, name)
+        with _WRITING:
+            path = _WRITTEN.get(key)
+            if path is None or not files.exists(self.spark, files.join(path, "_SUCCESS")):
+                path = shared_dir(self.spark, name)
+                write(path)
+                _WRITTEN[key] = path
         return path
 
     def stored(
@@ -47,7 +59,7 @@ class Star(Shop):
             ) else df.write
             writer.parquet(path)
 
-        path = self._written(name, write)
+        path = self.written(name, write)
         if partition is None:
             return self.spark.read.parquet(path)
         # Declared as text, so the partition column is not guessed to be a date.
@@ -76,15 +88,16 @@ class Star(Shop):
                 "ingest_dt"
             ).option("compression", "gzip").option("ignoreNullFields", False).json(path)
 
-        path = self._written("raw_events", write)
+        path = self.written("raw_events", write)
         schema = schemas.text_schema("events").add("ingest_dt", "string")
         return self.spark.read.schema(schema).json(path)
 
     def _raw_csv(self, name: str, df: DataFrame) -> DataFrame:
         def write(path: str) -> None:
-            df.write.option("header", True).option("compression", "gzip").csv(path)
+            writer = df.write.option("maxRecordsPerFile", LINES_PER_FILE)
+            writer.option("header", True).option("compression", "gzip").csv(path)
 
-        return read_text_table(self.spark, name, self._written(f"raw_{name}", write))
+        return read_text_table(self.spark, name, self.written(f"raw_{name}", write))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
@@ -183,29 +196,31 @@ class Star(Shop):
     def dim_date(self) -> DataFrame:
         return self.stored("dim_date", self.build_dim_date)
 
+    @cached_property
+    def gold_orders(self) -> DataFrame:
+        """Orders before their customer version is looked up.
+
+        As in a day's run the gold rows are written first: the lookup uses its input more than
+        once, and a written one is cheaper than the joins it comes from.
+        """
+        return self.stored("gold_orders", self.build_fact_orders)
+
+    @cached_property
+    def gold_items(self) -> DataFrame:
+        return self.stored("gold_items", self.build_fact_items)
+
     @cached_property
     def fact_orders(self) -> DataFrame:
         return self.stored(
-            "fact_orders",
-            lambda: as_of(self.build_fact_orders(), self.dim_customer, "order_date"),
+            "fact_orders", lambda: as_of(self.gold_orders, self.dim_customer, "order_date")
         )
 
     @cached_property
     def fact_items(self) -> DataFrame:
         return self.stored(
-            "fact_order_items",
-            lambda: as_of(self.build_fact_items(), self.dim_customer, "order_date"),
+            "fact_order_items", lambda: as_of(self.gold_items, self.dim_customer, "order_date")
         )
 
-    @property
-    def gold_orders(self) -> DataFrame:
-        """Orders before their customer version is looked up."""
-        return self.fact_orders.drop(SURROGATE)
-
-    @property
-    def gold_items(self) -> DataFrame:
-        return self.fact_items.drop(SURROGATE)
-
     @property
     def warehouse(self) -> dict[str, DataFrame]:
         return {
@@ -218,7 +233,8 @@ class Star(Shop):
             "fact_sessions": self.sessions,
         }
 
-    def with_version(self, facts: DataFrame) -> DataFrame:
+    def with_version(self, facts: DataFrame, dim: DataFrame | None = None) -> DataFrame:
         """The version a fact points at, told by its start: surrogate keys are hashes."""
-        start = self.dim_customer.select(SURROGATE, F.col("valid_from").alias("version_from"))
+        dim = self.dim_customer if dim is None else dim
+        start = dim.select(SURROGATE, F.col("valid_from").alias("version_from"))
         return facts.join(start, SURROGATE, "left").drop(SURROGATE)
