@@ -67,12 +67,12 @@ def ids_and_people(star: Star):
 @query(
     "p4_people_with_many_ids",
     """
-SELECT count(*) AS people_with_multiple_ids
+SELECT count(*) AS people_ordering_again
 FROM (SELECT 1 FROM s_snapshots GROUP BY customer_unique_id HAVING count(*) > 1)""",
 )
 def many_ids(star: Star):
     return profile.repeated_keys(
-        star.customer_snapshots, "customer_unique_id", "people_with_multiple_ids"
+        star.customer_snapshots, "customer_unique_id", "people_ordering_again"
     )
 
 
@@ -228,12 +228,12 @@ def undelivered(star: Star):
 @query(
     "p18_delivered_without_date",
     f"""
-SELECT count(*) AS delivered_but_null_date FROM s_orders
+SELECT count(*) AS delivered_undated FROM s_orders
 WHERE order_status = 'delivered' AND {_DELIVERED} IS NULL""",
 )
 def without_date(star: Star):
     condition = (F.col("order_status") == "delivered") & F.col(_DELIVERED).isNull()
-    return profile.count_where(star.orders, condition, "delivered_but_null_date")
+    return profile.count_where(star.orders, condition, "delivered_undated")
 
 
 @query(

@@ -12,6 +12,8 @@ from daygrain.registry.merging import EVENTS_STORED_UPTO
 from daygrain.registry.star import Star
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
+# Rejected orders are asked for in a part of that window only.
+REJECTED_FIRST, REJECTED_LAST = "1996-03-01", "1998-10-15"
 
 define(
     "s_window",
@@ -81,13 +83,16 @@ def three_way(star: Star):
 
 @query(
     "r2_rejected",
-    """
+    f"""
 SELECT order_id, order_status, dq_reason FROM s_tagged_orders
-WHERE dq_reason <> '' AND order_id IN (SELECT order_id FROM s_window)""",
+WHERE dq_reason <> '' AND order_id IN (
+  SELECT order_id FROM s_orders WHERE order_purchase_timestamp >= DATE '{REJECTED_FIRST}'
+  AND order_purchase_timestamp < DATE '{REJECTED_LAST}' + 1)""",
 )
 def rejected(star: Star):
     return reconcile.rejected_orders(
-        star.quarantined_orders, reconcile.in_window(star.order_heads, FIRST, LAST)
+        star.quarantined_orders,
+        reconcile.in_window(star.order_heads, REJECTED_FIRST, REJECTED_LAST),
     )
 
 

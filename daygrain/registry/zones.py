@@ -44,6 +44,16 @@ def _write_events(star: Star, lake: str) -> str:
     return clean
 
 
+def _clean_zone(star: Star) -> str:
+    """The same, written once for all queries that only read it."""
+
+    def write(path: str) -> None:
+        _write_events(star, path)
+        files.replace_text(star.spark, files.join(path, "_SUCCESS"), "")
+
+    return files.join(star.written("clean_zone", write), "clean")
+
+
 def _per_day(df: DataFrame, day: str = "ingest_dt") -> DataFrame:
     return df.groupBy(F.col(day).cast("string").alias(day)).agg(F.count("*").alias("rows"))
 
@@ -83,7 +93,7 @@ SELECT event_id, session_id, event_type, ingest_dt FROM s_clean_events
 WHERE ingest_dt = (SELECT max(ingest_dt) FROM s_events)""",
 )
 def one_day(star: Star):
-    clean = _write_events(star, shared_dir(star.spark, "lake"))
+    clean = _clean_zone(star)
     return read_day(star.spark, clean, "events", _last_day(star)).select(
         "event_id", "session_id", "event_type", "ingest_dt"
     )
@@ -94,7 +104,7 @@ def one_day(star: Star):
     _CLEAN_PER_DAY.format(where=f"WHERE ingest_dt <= '{EVENTS_STORED_UPTO}'"),
 )
 def upto(star: Star):
-    clean = _write_events(star, shared_dir(star.spark, "lake"))
+    clean = _clean_zone(star)
     return _per_day(read_events_upto(star.spark, clean, EVENTS_STORED_UPTO))
 
 
@@ -105,7 +115,7 @@ SELECT event_type, device, count(*) AS events FROM s_clean_events GROUP BY 1, 2"
 )
 def views(star: Star):
     """SQL on the views that the table definitions make of the clean zone."""
-    clean = _write_events(star, shared_dir(star.spark, "lake"))
+    clean = _clean_zone(star)
     register_views(star.spark, clean, "clean", star.rules)
     return star.spark.sql(
         "SELECT event_type, device, count(*) AS events FROM clean_events GROUP BY ALL"
