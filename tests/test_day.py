@@ -79,9 +79,14 @@ def test_gold_rows_of_each_day(lake):
     assert counts[D3] == {**dict.fromkeys(schemas.GOLD, 0), "fact_sessions": 1}
 
 
-def test_clean_timestamps_are_in_milliseconds(spark, lake):
-    file = next((lake[0] / "clean" / "orders").rglob("*.parquet"))
-    assert "timestamp[ms" in str(pq.read_schema(file).field("order_purchase_timestamp").type)
+@pytest.mark.parametrize("table, column", [
+    ("clean/orders", "order_purchase_timestamp"),
+    ("gold/fact_orders", "purchase_ts"),
+    ("warehouse/fact_orders", "purchase_ts"),
+])
+def test_stored_timestamps_are_in_milliseconds(spark, lake, table, column):
+    file = next((lake[0] / table).rglob("*.parquet"))
+    assert "timestamp[ms" in str(pq.read_schema(file).field(column).type)
     assert spark.conf.get("spark.sql.parquet.outputTimestampType") != "TIMESTAMP_MILLIS"
 
 
