@@ -13,8 +13,11 @@ sequence as one; none: empty). Two documents are linked if 100 * intersection >=
    miss all common buckets with a probability of 4e-5, at 0.9 of 1e-8.
 4. Buckets link their members into candidate clusters. Within a cluster all sets are compared
    exactly, by counting common elements over inverted lists. A cluster too large for one task
-   is cut into blocks, and pairs of blocks that share a bucket are compared in tasks of their own.
-   A task gives a spanning forest of the links it finds, never all pairs.
+   is cut into blocks of bounded count and size, and each block is compared with itself and with the
+   cluster's head: a step linear in the cluster, after which copies of one text are one component.
+   Only buckets that still hold several components go on. There the members outside the cluster's largest
+   component, in blocks of their own, meet all blocks of the bucket; two members of one component
+   are not compared again. A task gives a spanning forest of the links it finds, never all pairs.
 5. Components of the links give the result.
 
 Documents without words are linked with nothing. A NULL doc_id takes part, and is the smallest id
@@ -40,8 +43,11 @@ MIN_PERCENT = 85
 BINS = 256
 ROWS = 8
 BANDS = BINS // ROWS
-# Members of a block of a cluster that one task holds with their sets.
+# Members of a block of a cluster that one task holds with their sets, and elements of these.
 BLOCK = 512
+BLOCK_ELEMENTS = 1 << 21
+# Entries of inverted lists that are read at once.
+_ENTRIES = 1 << 22
 
 _ROUND_STEP = np.uint64(0x9E3779B97F4A7C15)
 _VALUE = np.uint64((1 << 54) - 1)
@@ -120,20 +126,40 @@ def linked(sizes: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     return 100 * common >= MIN_PERCENT * (sizes + size - common)
 
 
-def forest(nodes: list[bytes], sides: np.ndarray, sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
-    """Links that connect what is linked among these sets; between two sides only, if there are two.
+def common_elements(mine: np.ndarray, begins: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many of `mine` each of the `n` sets holds, over inverted lists read in bounded pieces."""
+    starts, lengths = begins[mine], begins[mine + 1] - begins[mine]
+    ends = np.cumsum(lengths)
+    common = np.zeros(n, np.int64)
+    k = 0
+    while k < len(mine):
+        done = ends[k - 1] if k else 0
+        stop = max(k + 1, int(np.searchsorted(ends, done + _ENTRIES, side="right")))
+        part = lengths[k:stop]
+        shift = starts[k:stop] - (ends[k:stop] - part - done)
+        common += np.bincount(owner[np.repeat(shift, part) + np.arange(part.sum())], minlength=n)
+        k = stop
+    return common
 
-    Common elements of one set with all others are counted over inverted lists.
+
+def forest(nodes: list[bytes], known: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+    """Links that connect what is linked among these sets, beyond the components already `known`.
+
+    Two sets of one known component are not compared: of any other pair at least one is outside the largest
+    component, so only those are counted against all.
     """
     n = len(nodes)
+    parts, part = np.unique(np.array(known, object), return_inverse=True)
+    if len(parts) < 2:
+        return []
     sizes = np.array([len(s) for s in sets])
-    crossing = len(np.unique(sides)) > 1
     _, words = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(n), sizes)
     order = np.argsort(words, kind="stable")
-    words_sorted, owner_sorted = words[order], owner[order]
-    begins = np.searchsorted(words_sorted, np.arange(words_sorted[-1] + 2))
+    owner_sorted = owner[order]
+    begins = np.concatenate([[0], np.cumsum(np.bincount(words))])
     ends = np.concatenate([[0], np.cumsum(sizes)])
+    outside = part != np.bincount(part).argmax()
     root = list(range(n))
 
     def find(x: int) -> int:
@@ -143,21 +169,15 @@ def forest(nodes: list[bytes], sides: np.ndarray, sets: list[np.ndarray]) -> lis
         return x
 
     out = []
-    for x in range(n):
+    for x in np.flatnonzero(outside):
         mine = words[ends[x] : ends[x + 1]]
-        a, b = begins[mine], begins[mine + 1]
-        lengths = b - a
-        if lengths.sum() == len(mine):
+        if (begins[mine + 1] - begins[mine]).max() == 1:
             continue  # shares nothing with any other
-        # The owners of all its elements, list by list.
-        flat = np.repeat(a - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        common = np.bincount(owner_sorted[flat], minlength=n)
-        found = linked(sizes, common, sizes[x])
-        found[: x + 1] = False
-        if crossing:
-            found &= sides != sides[x]
+        found = linked(sizes, common_elements(mine, begins, owner_sorted, n), sizes[x])
+        found &= part != part[x]
+        found[: x + 1] &= ~outside[: x + 1]  # those were counted against x before
         for y in np.flatnonzero(found):
-            p, q = find(x), find(int(y))
+            p, q = find(int(x)), find(int(y))
             if p != q:
                 root[q] = p
                 out.append((nodes[x], nodes[int(y)]))
@@ -166,12 +186,10 @@ def forest(nodes: list[bytes], sides: np.ndarray, sets: list[np.ndarray]) -> lis
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by group (cluster and two blocks): the links inside each group."""
-    group, nodes, sides, sets = None, [], [], []
+    group, nodes, known, sets = None, [], [], []
 
     def finish():
-        if len(nodes) < 2:
-            return None
-        links = forest(nodes, np.array(sides), sets)
+        links = forest(nodes, known, sets) if len(nodes) > 1 else []
         if not links:
             return None
         return pa.RecordBatch.from_arrays(
@@ -181,17 +199,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = zip(*(batch.column(k).to_pylist() for k in range(3)))
         own = batch.column(3).to_pylist()
-        own_sides = batch.column(4).to_pylist()
+        parts = batch.column(4).to_pylist()
         contents = batch.column(5)
         for row, key in enumerate(keys):
             if key != group:
                 if (out := finish()) is not None:
                     yield out
-                group, nodes, sides, sets = key, [], [], []
+                group, nodes, known, sets = key, [], [], []
             if nodes and nodes[-1] == own[row]:
-                continue  # repeated rows of one document
+                continue  # repeated rows of one document, or the head in its own block
             nodes.append(own[row])
-            sides.append(own_sides[row])
+            known.append(parts[row])
             sets.append(np.frombuffer(contents[row].as_py(), np.uint64))
     if (out := finish()) is not None:
         yield out
@@ -239,42 +257,78 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
+def _compared(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links in groups of rows (label, low, high, node, known)."""
+    return (
+        groups.join(sets, "node").select("label", "low", "high", "node", "known", "elements")
+        .repartition("label", "low", "high")
+        .sortWithinPartitions("label", "low", "high", "node")
+        .mapInArrow(_verify, "a binary, b binary")
+    )
+
+
 def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, clusters: DataFrame, scratch: Scratch) -> DataFrame:
-    sizes = clusters.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    sized = clusters.join(classes.select("node", "rep", "n"), "node")
+    least = F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_ELEMENTS))
+    sizes = sized.groupBy("label").agg(F.ceil(least).cast("int").alias("blocks"))
     placed = scratch.save(
-        clusters.join(sizes, "label").select(
-            "node", "label", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks"
+        sized.join(sizes, "label").select(
+            "node", "rep", "n", "label", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks"
         ),
         "placed",
     )
-    # In clusters of several blocks, the pairs of blocks that meet in a bucket.
-    large = members.join(placed.where("blocks > 1"), "node").select("bucket", "label", "block").distinct()
-    other = large.select("bucket", "label", F.col("block").alias("other"))
-    pairs = (
-        large.join(other, ["bucket", "label"]).where("block <= other")
-        .select("label", F.col("block").alias("low"), F.col("other").alias("high")).distinct()
-        .unionByName(
-            placed.where("blocks = 1").select("label", F.lit(0).alias("low"), F.lit(0).alias("high")).distinct()
-        )
-    )
-    pairs = scratch.save(pairs, "pairs")
-    sides = pairs.select("*", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
     sets = scratch.save(
-        rows.join(
-            placed.join(classes.select("node", "rep"), "node").select("node", "rep"),
-            F.col("doc_id") == F.col("rep"),
-        ).select("node", "text").mapInArrow(_sets, "node binary, elements binary"),
+        rows.join(placed.select("node", "rep"), F.col("doc_id") == F.col("rep"))
+        .select("node", "text").mapInArrow(_sets, "node binary, elements binary"),
         "sets",
     )
-    groups = (
-        placed.join(sides, ["label", "block"]).select("label", "low", "high", "node", "block")
-        .join(sets, "node").select("label", "low", "high", "node", "block", "elements")
+    # Each block with itself and with the head of its cluster, which is the label.
+    own = placed.select("label", F.col("block").alias("low"), F.col("block").alias("high"), "node")
+    heads = own.join(placed.where("blocks > 1").select("label").distinct(), "label", "left_semi")
+    heads = heads.select("label", "low", "high", F.col("label").alias("node")).distinct()
+    first = scratch.save(_compared(own.unionByName(heads).withColumn("known", F.col("node")), sets), "links-in-blocks")
+    wide = placed.where("blocks > 1").select("node", "label", "block", "n")
+    if wide.isEmpty():
+        return first
+    # What is one component by now; a node without links is its own.
+    inner = first.join(wide.select(F.col("node").alias("a")), "a", "left_semi")
+    joined = components(inner, scratch, "block").withColumnRenamed("label", "known")
+    wide = wide.join(joined, "node", "left").withColumn("known", F.coalesce("known", "node"))
+    held = scratch.save(members.select("node", "bucket").join(wide, "node"), "held")
+    mixed = held.groupBy("bucket").agg(F.min("known").alias("low"), F.max("known").alias("high"))
+    mixed = scratch.save(mixed.where("low <> high").select("bucket"), "mixed")
+    live = scratch.save(held.join(mixed, "bucket", "left_semi"), "live")
+    # Nodes outside their cluster's largest component get blocks of their own, numbered below 0.
+    nodes = live.select("node", "label", "block", "n", "known").distinct()
+    largest = F.struct("members", "known")
+    shares = (
+        nodes.groupBy("label", "known").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("elements"))
+        .groupBy("label").agg(
+            F.max_by("known", largest).alias("main"),
+            (F.sum("members") - F.max("members")).alias("members"),
+            (F.sum("elements") - F.max_by("elements", largest)).alias("elements"),
+        )
+        .select("label", "main", F.ceil(F.greatest(
+            F.col("members") / F.lit(BLOCK), F.col("elements") / F.lit(BLOCK_ELEMENTS), F.lit(1.0)
+        )).alias("apart"))
     )
-    return (
-        groups.repartition("label", "low", "high")
-        .sortWithinPartitions("label", "low", "high", "node")
-        .mapInArrow(_verify, "a binary, b binary")
+    apart = (-1 - F.pmod(F.xxhash64("node"), F.col("apart"))).cast("int")
+    numbered = scratch.save(
+        nodes.join(scratch.save(shares, "shares"), "label").select(
+            "node", "label", F.when(F.col("known") == F.col("main"), F.col("block")).otherwise(apart).alias("block"), "known"
+        ),
+        "numbered",
+    )
+    met = live.select("node", "bucket").join(numbered.select("node", "label", "block"), "node")
+    met = scratch.save(met.select("bucket", "label", "block").distinct(), "blocks-in-buckets")
+    pairs = (
+        met.where("block < 0").withColumnRenamed("block", "one")
+        .join(met.select("bucket", F.col("block").alias("two")), "bucket")
+        .select("label", F.least("one", "two").alias("low"), F.greatest("one", "two").alias("high")).distinct()
     )
+    sides = scratch.save(pairs, "pairs").select("*", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    across = numbered.join(sides, ["label", "block"]).select("label", "low", "high", "node", "known")
+    return first.unionByName(scratch.save(_compared(across, sets), "links-across"))
 
 
 def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -65,6 +65,41 @@ def test_edge_cases(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(g[0] for g in got if g[3])
 
 
+def test_large_clusters_in_blocks(spark, monkeypatch):
+    """Copies of one text, chains away from it and a second group in the same buckets, cut into small blocks."""
+    rng = np.random.default_rng(11)
+    base = [f"v{k}" for k in range(200)]
+    rows = []
+    for k in range(60):  # close to the head
+        words = list(base)
+        words[int(rng.integers(200))] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    for k in range(40):  # a chain: each link holds, the ends are far apart
+        rows.append((100 + k, " ".join(base[k * 4 :] + [f"c{j}" for j in range(k * 4)])))
+    for k in range(60):  # near the limit on both sides
+        words = list(base)
+        for at in rng.choice(200, int(rng.integers(2, 7)), False):
+            words[at] = f"y{k}"
+        rows.append((200 + k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_force(rows)
+    for block, elements in ((5, 1 << 21), (1000, 2000)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "BLOCK_ELEMENTS", elements)
+        assert sorted(map(tuple, near_dedup.near_groups(df).collect())) == expected
+
+
+def test_known_components_are_not_compared_again(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_ENTRIES", 7)
+    sets = [np.arange(k, k + 20, dtype=np.uint64) for k in (0, 1, 2, 100, 101, 500)]
+    nodes = [bytes([k]) for k in range(6)]
+    assert near_dedup.forest(nodes, [b"a"] * 6, sets) == []
+    found = near_dedup.forest(nodes, nodes, sets)
+    assert len(found) == 3 and frozenset((nodes[3], nodes[4])) in map(frozenset, found)
+    found = near_dedup.forest(nodes, [b"a", b"a", b"b", b"c", b"d", b"d"], sets)
+    assert len(found) == 2 and frozenset((nodes[3], nodes[4])) in map(frozenset, found)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_groups(df).collect() == []
