@@ -268,24 +268,27 @@ def _compared(groups: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, clusters: DataFrame, scratch: Scratch) -> DataFrame:
-    sized = clusters.join(classes.select("node", "rep", "n"), "node")
+    sized = scratch.save(clusters.join(classes.select("node", "rep", "n"), "node"), "sized")
     least = F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_ELEMENTS))
-    sizes = sized.groupBy("label").agg(F.ceil(least).cast("int").alias("blocks"))
+    cut = sized.groupBy("label").agg(F.ceil(least).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1))
     placed = scratch.save(
-        sized.join(sizes, "label").select(
-            "node", "rep", "n", "label", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks"
+        sized.join(scratch.save(cut, "cut"), "label", "left").select(
+            "node", "rep", "n", "label", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks")
         ),
         "placed",
     )
+    # The candidates grow with the corpus, so this is a shuffle at every size.
     sets = scratch.save(
-        rows.join(placed.select("node", "rep"), F.col("doc_id") == F.col("rep"))
+        rows.join(placed.select("node", "rep").hint("merge"), F.col("doc_id") == F.col("rep"))
         .select("node", "text").mapInArrow(_sets, "node binary, elements binary"),
         "sets",
     )
     # Each block with itself and with the head of its cluster, which is the label.
     own = placed.select("label", F.col("block").alias("low"), F.col("block").alias("high"), "node")
-    heads = own.join(placed.where("blocks > 1").select("label").distinct(), "label", "left_semi")
-    heads = heads.select("label", "low", "high", F.col("label").alias("node")).distinct()
+    heads = placed.where("blocks > 1").select(
+        "label", F.col("block").alias("low"), F.col("block").alias("high"), F.col("label").alias("node")
+    ).distinct()
     first = scratch.save(_compared(own.unionByName(heads).withColumn("known", F.col("node")), sets), "links-in-blocks")
     wide = placed.where("blocks > 1").select("node", "label", "block", "n")
     if wide.isEmpty():
