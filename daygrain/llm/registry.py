@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, fingerprint, html_text, language, mixing, near_dedup, passages, pieces, quality, url_filter
+from daygrain.llm import exact_dedup, fingerprint, html_text, language, merkle, mixing, near_dedup, passages, pieces, quality, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -238,3 +238,75 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_repeated_passages")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated_passages(table(spark, folder, "documents"))
+
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII or Latin-1 text's UTF-8 bytes, bit by bit."""
+    values = f"[('0x' || hex({text})[2 * i - 1 : 2 * i])::BIGINT FOR i IN range(1, strlen({text}) + 1)]"
+    steps = f"flatten([[v, -1, -1, -1, -1, -1, -1, -1, -1] FOR v IN {values}])"
+    turn = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {turn}), 4294967295)"
+
+
+def _tree_sql(name: str, start: str, levels: int) -> str:
+    """`{name}_run_k` and `{name}_top` over `start` (tree, i, d, size)."""
+    text = f"{name}_0 AS MATERIALIZED ({start})"
+    for k in range(levels):
+        text += f""", {name}_run_{k} AS MATERIALIZED (
+        SELECT tree, i // {merkle.ARITY} AS i, list(d ORDER BY i) AS run, (any_value(size) + {merkle.ARITY - 1}) // {merkle.ARITY} AS size
+        FROM {name}_{k} WHERE size > 1 GROUP BY tree, i // {merkle.ARITY}
+    ), {name}_{k + 1} AS MATERIALIZED (SELECT tree, i, sha256(array_to_string(run, '')) AS d, size FROM {name}_run_{k})"""
+    tops = " UNION ALL ".join(f"SELECT tree, d FROM {name}_{k} WHERE size = 1" for k in range(levels + 1))
+    return f"{text}, {name}_top AS MATERIALIZED ({tops})"
+
+
+def _fold_sql(name: str, start: str, levels: int) -> str:
+    """Folds `start` (..., tree, i, proof, node) along the runs, to `{name}_up_{levels}`."""
+    text = f"{name}_up_0 AS MATERIALIZED ({start})"
+    slot = f"u.i % {merkle.ARITY}"
+    for k in range(levels):
+        text += f""", {name}_up_{k + 1} AS MATERIALIZED (
+        SELECT u.* REPLACE (
+            u.i // {merkle.ARITY} AS i,
+            u.proof || CASE WHEN run IS NULL THEN '' ELSE array_to_string(run[:{slot}] || run[{slot} + 2:], '') END AS proof,
+            CASE WHEN run IS NULL THEN node ELSE
+                 sha256(array_to_string(list_append(run[:{slot}], node) || run[{slot} + 2:], '')) END AS node)
+        FROM {name}_up_{k} u LEFT JOIN {name}_run_{k} r ON r.tree = u.tree AND r.i = u.i // {merkle.ARITY}
+    )"""
+    return text
+
+
+def _leaf_sql(text: str) -> str:
+    one = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(one.format(text if f == "text" else f) for f in merkle.FIELDS) + ")"
+
+
+# The levels suffice for 16 ** 6 rows of a source and 16 ** 4 sources.
+@query(
+    "op13_merkle_manifest",
+    rf"""
+    WITH leaves AS MATERIALIZED (
+        SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 5 = 0
+                    THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                    ELSE {_leaf_sql("text")} END AS shown
+        FROM documents
+    ), placed AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+               count(*) OVER (PARTITION BY tree) AS size
+        FROM leaves
+    ), {_tree_sql("source", "SELECT tree, i, leaf AS d, size FROM placed", 6)},
+    {_tree_sql("whole", "SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, d, count(*) OVER () AS size FROM source_top", 4)},
+    {_fold_sql("source", "SELECT *, '' AS proof, shown AS node FROM placed", 6)},
+    {_fold_sql("whole", "SELECT u.* REPLACE ('' AS tree, s.i AS i), u.tree AS of FROM source_up_6 u JOIN (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS i FROM source_top) s USING (tree)", 4)}
+    SELECT u.doc_id, u.leaf, t.d AS subroot, w.d AS root, sha256(u.proof) AS proof_sha256,
+           u.node AS folded_root, u.node = w.d AS verified
+    FROM whole_up_4 u JOIN source_top t ON t.tree = u.of, whole_top w
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Where 5 divides the CRC-32 of the id, the text is presented with A-Z in lower case."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, lowered).otherwise(F.col("text"))
+    return merkle.verified(merkle.manifest(table(spark, folder, "documents"), presented={"text": shown}))
