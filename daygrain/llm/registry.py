@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import exact_dedup, fingerprint, html_text, language, merkle, mixing, near_dedup, passages, pieces, quality, url_filter
+from daygrain.llm import arc, exact_dedup, fingerprint, html_text, language, merkle, mixing, near_dedup, passages, pieces, quality, spelling, url_filter
 from daygrain.llm.common import table
 from daygrain.llm.mixing import SCHEDULES, _segments
 from daygrain.session import configure
@@ -310,3 +310,63 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     shown = F.when(tampered, lowered).otherwise(F.col("text"))
     return merkle.verified(merkle.manifest(table(spark, folder, "documents"), presented={"text": shown}))
+
+
+@query(
+    "op12_warc",
+    f"""
+    WITH payloads AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+    ), placed AS (
+        SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM payloads
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= {arc.MIN_REVISIT} AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= {arc.MIN_REVISIT} AND page_id <> last THEN last END AS refers_to
+    FROM placed
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = arc.archived(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# A word without its letter in each place: one letter less, or one replaced where the place is the same.
+@query(
+    "op11_spelling",
+    rf"""
+    WITH runs AS MATERIALIZED (
+        SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+        FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS raw FROM documents)
+        GROUP BY ALL
+    ), coded AS MATERIALIZED (
+        SELECT run, times, {_crc32_sql("(doc_id::VARCHAR || ':' || run)")} AS h FROM runs
+    ), words AS MATERIALIZED (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+               sum(times)::BIGINT AS n
+        FROM coded GROUP BY 1 HAVING length(word) >= {spelling.MIN_LENGTH} AND sum(times) >= {spelling.MIN_COUNT}
+    ), less AS MATERIALIZED (
+        SELECT word, length(word) AS size, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+        FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+    ), pairs AS MATERIALIZED (
+        SELECT a.word, b.word AS near FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size AND a.word <> b.word
+        UNION SELECT w.word, l.word FROM words w JOIN less l ON l.rest = w.word
+        UNION SELECT l.word, w.word FROM words w JOIN less l ON l.rest = w.word
+    ), best AS (
+        SELECT p.word, count(*) AS n_near, first(p.near ORDER BY w.n DESC, p.near) AS near, max(w.n) AS near_n
+        FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word
+    ), formed AS MATERIALIZED (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.LIFT} * w.n THEN near END AS form,
+               CASE WHEN near_n >= {spelling.LIFT} * w.n THEN near_n END AS form_n
+        FROM words w LEFT JOIN best USING (word)
+    ), walk AS (
+        WITH RECURSIVE steps(word, stop) AS (
+            SELECT word, word FROM formed UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.stop WHERE f.form IS NOT NULL
+        ) SELECT s.word, s.stop AS root FROM steps s JOIN formed f ON f.word = s.stop WHERE f.form IS NULL
+    )
+    SELECT word, form, root, n, n_near, form_n FROM formed JOIN walk USING (word)
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Where 199 divides the CRC-32 of `<doc_id>:<word>`, the occurrence has lost a letter."""
+    return spelling.variants(table(spark, folder, "documents"), every=199, edit=spelling.one_letter_less)
