@@ -56,6 +56,7 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # The header line of the page's number in the HTTP block, which both kinds of archive keep.
 PAGE_HEADER = "X-Page-Id"
 _PAGE = re.compile(rb"\r\n" + PAGE_HEADER.encode() + rb": (-?\d+)\r\n")
+_DRAWN = re.compile(r"(part-\d+)-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 _UNSAFE = re.compile(rb"[\x00-\x20\x7f]")
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:daygrain:arc")
 _NO_DATE = "19700101000000"
@@ -227,8 +228,8 @@ def _parsed(whole: bool):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                # Folder and file name identify an archive wherever its root is mounted.
-                name = "/".join(path.as_py().split("/")[-2:])
+                # Folder and file name identify an archive wherever its root is mounted, without what Spark draws.
+                name = _DRAWN.sub(r"\1", "/".join(path.as_py().split("/")[-2:]))
                 rows, held = [], 0
                 for place, r in enumerate(arc_records(content.as_buffer().to_pybytes(), name)):
                     r |= {
