@@ -3,6 +3,8 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from daygrain.llm import language
 from daygrain.llm.registry import QUERIES
@@ -37,6 +39,34 @@ def test_paths_are_the_best_ones():
         assert abs(path_value(scores, path) - best) < 1e-9
 
 
+def test_text_of_two_languages_with_a_third_one_on_top():
+    """First A, then B, while C has the best total: no single run gains more than a penalty over C."""
+    gain = language.SWITCH / 5
+    first, second = [gain, -4 * gain / 3, 0.0], [-4 * gain / 3, gain, 0.0]
+    scores = np.array([first] * 4 + [second] * 4)
+    path = language.best_paths(scores, np.zeros(8, int))
+    assert path.tolist() == [0] * 4 + [1] * 4
+
+
+def test_short_texts_against_full_viterbi():
+    rng = np.random.default_rng(4)
+    scores, owner = [], []
+    for k in range(200):
+        n = int(rng.integers(1, 12))
+        half = np.repeat(rng.normal(0, 1, (2, 4)), [n // 2, n - n // 2], axis=0)
+        scores.append((half + rng.normal(0, 0.3, (n, 4))) * language.SWITCH * rng.choice([0.05, 0.2, 0.5, 1.0, 3.0]))
+        owner += [k] * n
+    paths = np.split(language.best_paths(np.concatenate(scores), np.array(owner)), np.cumsum([len(t) for t in scores])[:-1])
+    for table, path, full in zip(scores, paths, language.viterbi(scores), strict=True):
+        assert abs(path_value(table, path) - path_value(table, full)) < 1e-9
+
+
+def test_lower_case_moves_no_offset():
+    """Spans are code points of the text itself: lower-casing maps code point to code point."""
+    text = "".join(chr(c) for c in range(0x20, 0x20000) if not 0xD800 <= c < 0xE000)
+    assert len(pc.utf8_lower(pa.array([text]))[0].as_py()) == len(text)
+
+
 def test_spans_and_odd_rows(spark):
     english = "the cat and the dog went over the hill with the other thing "
     russian = "это было очень давно и никто уже не помнил как это началось "
