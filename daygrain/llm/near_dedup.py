@@ -21,8 +21,10 @@ sequence as one; none: empty). Two documents are linked if 100 * intersection >=
 5. Components of the links give the result.
 
 Documents without words are linked with nothing. A NULL doc_id takes part, and is the smallest id
-of its component only if there is no other. Repeated rows are copies like any other. Empty
-tables give empty results; extra columns are not read.
+of its component only if there is no other. Repeated rows are copies like any other; ties cannot
+arise, since a component's smallest id names it. Very long texts are hashed whole, and a set larger than a block's
+elements is a block of its own. Empty tables give empty results; extra columns are not read, and
+`survivors` hands them on as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,6 +124,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The set of every text that has words."""
+    for batch in batches:
+        found = [e for _, e in shingle_sets(batch.column(0), SHINGLE) if len(e)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(map(set_key, found), pa.binary()), pa.array([e.tobytes() for e in found], pa.binary())],
+            ["node", "elements"],
+        )
+
+
 def linked(sizes: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     return 100 * common >= MIN_PERCENT * (sizes + size - common)
 
@@ -279,11 +291,18 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, clusters: Da
         "placed",
     )
     # The candidates grow with the corpus, so this is a shuffle at every size.
-    sets = scratch.save(
+    kind = "node binary, elements binary"
+    named = (
         rows.join(placed.select("node", "rep").hint("merge"), F.col("doc_id") == F.col("rep"))
-        .select("node", "text").mapInArrow(_sets, "node binary, elements binary"),
-        "sets",
+        .select("node", "text").mapInArrow(_sets, kind)
+    )
+    # A class without any id is found by its set. Copies are one row before they leave the map side.
+    unnamed = (
+        rows.where("doc_id IS NULL").select("text").mapInArrow(_all_sets, kind)
+        .groupBy("node").agg(F.first("elements").alias("elements"))
+        .join(placed.where("rep IS NULL").select("node"), "node", "left_semi")
     )
+    sets = scratch.save(named.unionByName(unnamed), "sets")
     # Each block with itself and with the head of its cluster, which is the label.
     own = placed.select("label", F.col("block").alias("low"), F.col("block").alias("high"), "node")
     heads = placed.where("blocks > 1").select(
@@ -339,6 +358,6 @@ def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     Rows that repeat that doc_id stay with it; exact dedup is there for them.
     """
-    decided = near_groups(docs, doc_id, text)
-    keep = decided.where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(F.col("__keep")), "left_semi")
+    keep = near_groups(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("keep")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").alias("id"))
+    return rows.join(keep, F.col("id").eqNullSafe(F.col("keep")), "left_semi").select("row.*")

@@ -65,6 +65,28 @@ def test_edge_cases(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(g[0] for g in got if g[3])
 
 
+def test_near_copies_without_an_id(spark):
+    """A NULL id takes part: linked with an id, with another NULL id, and not with what is different."""
+    words = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    rows = [(None, " ".join(words)), (5, " ".join(words[:-1])), (None, " ".join(other)), (None, " ".join(other[1:])), (None, " ".join(other)),
+            (7, "something else altogether is said here"), (None, None)]
+    docs = spark.createDataFrame([(*r, 1, 2, "r", 3) for r in rows], "doc_id long, text string, __keep int, keep int, row string, id int")
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in near_dedup.near_groups(docs).collect())
+    assert got == [("5", 55, "5"), ("7", 2, "7"), ("None", 0, "None"), ("None", 55, "None"), ("None", 56, "5"), ("None", 56, "None"),
+                   ("None", 56, "None")]
+    kept = near_dedup.survivors(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {5, 7, None}
+    links = near_dedup._links
+    found = []
+    near_dedup._links = lambda *a: found.append(links(*a)) or found[0]
+    try:
+        near_dedup.near_groups(docs).collect()
+    finally:
+        near_dedup._links = links
+    assert found[0].count() == 2
+
+
 def test_large_clusters_in_blocks(spark, monkeypatch):
     """Copies of one text, chains away from it and a second group in the same buckets, cut into small blocks."""
     rng = np.random.default_rng(11)
