@@ -4,8 +4,8 @@ Texts are equal when identical after deleting ASCII white space; a NULL text cou
 Of equal texts the row with the most code points in its original text stays, then the smallest
 doc_id (a NULL id after all others). Repeated rows, that is the same id, text and length, are
 copies too: one of them stays. Empty tables give empty results. Very long texts meet only
-row-level functions. Extra columns are untouched; `survivors` sets working columns under a prefix
-of its own, so clashing names do no harm.
+row-level functions. Extra columns are untouched; `survivors` carries each row as a struct beside its
+working columns, so clashing names do no harm.
 
 Frequent digests come from Spark's mergeable frequent-items sketch, which is the Misra-Gries
 summary with batched decrements: a digest of more than 3.5 / TRACKED of all rows cannot be
@@ -110,13 +110,12 @@ def assignments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, all columns kept. Copies of frequent texts never reach the shuffle."""
     _, winners = _stored(docs, doc_id, text, Scratch(docs.sparkSession, "exact-dedup"))
-    rows = docs.select("*", *_keys(F.col(text), F.col(doc_id)))
+    rows = docs.select(F.struct("*").alias("row"), *_keys(F.col(text), F.col(doc_id)))
     by_rank = Window.partitionBy("__digest").orderBy(*_rank())
     firsts = rows.join(F.broadcast(winners), "__digest").where(_stays())
     rest = rows.join(F.broadcast(winners), "__digest", "left_anti")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     once = [
-        part.withColumn("__place", F.row_number().over(by_rank)).where("__place = 1").select(*columns)
+        part.withColumn("__place", F.row_number().over(by_rank)).where("__place = 1").select("row.*")
         for part in (firsts, rest)
     ]
     return once[0].unionByName(once[1])

@@ -23,7 +23,8 @@ ROWS = [
 @pytest.mark.parametrize("frequent", [1, 512])
 def test_odd_rows(spark, monkeypatch, frequent):
     monkeypatch.setattr(exact_dedup, "FREQUENT", frequent)
-    docs = spark.createDataFrame([(i, t, 1, "c") for i, t in ROWS], "doc_id long, text string, kept int, __x string")
+    names = "doc_id long, text string, kept int, __x string, __digest string, __place int, __best int, row int"
+    docs = spark.createDataFrame([(i, t, 1, "c", "d", 2, 3, 4) for i, t in ROWS], names)
     got = exact_dedup.assignments(docs).collect()
     assert len(got) == len(ROWS)
     by_id = {r.doc_id: r for r in got}
