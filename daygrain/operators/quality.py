@@ -12,11 +12,11 @@ A rule block is a dict, as in `rules.yaml`::
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.operators.copies import mark_copies
@@ -149,7 +149,7 @@ def apply_rules(
 ) -> tuple[DataFrame, DataFrame]:
     """(valid with dq_warn, bad with dq_reason and dq_warn); together they are the input.
 
-    Both are lazy. A caller that writes both should persist `tag_rows` and split that.
+    Both are lazy. A caller that needs both should write `tag_rows` and split what was written.
     """
     return split_tagged(tag_rows(df, rules, order_by))
 
@@ -172,39 +172,68 @@ def reason_report(tagged: DataFrame) -> DataFrame:
     return reason_counts(bad).select("reason", "rows", total.scalar().alias("total"))
 
 
-def tag_counts(tagged: DataFrame) -> Counter:
-    """Rows per (dq_reason, has a warning), in one job.
+def known_reasons(rules: dict | None) -> list[str]:
+    """Every reason the reject rules of a table can give."""
+    block = (rules or {}).get("reject") or {}
+    keys = [[k] if isinstance(k, str) else list(k) for k in block.get("unique", [])]
+    return [reason for _, reason in _violations(block)] + [f"duplicate:{'+'.join(k)}" for k in keys]
 
-    The driver gets one entry per combination of reasons, whose number the rules bound.
-    """
-    warned = F.col("dq_warn") != ""
-    combos = tagged.groupBy("dq_reason", warned.alias("warned")).agg(
-        F.count("*").alias("rows")
-    )
-    return Counter({(r["dq_reason"], r["warned"]): r["rows"] for r in combos.collect()})
 
+class Tally:
+    """Counts of a tagged table that are taken while it is written, without a job of their own.
 
-def summary_of(table: str, combos: Counter) -> dict:
-    total = sum(combos.values())
-    by_reason: Counter = Counter()
-    quarantined = 0
-    for (reasons, _), rows in combos.items():
-        if reasons:
-            quarantined += rows
-            for reason in reasons.split(","):
-                by_reason[reason] += rows
+    One number per reason the rules know. Attach it last before the write: tasks of a write are
+    counted once, however often an earlier stage is repeated.
+    """
+
+    def __init__(self, table: str, rules: dict | None):
+        self.table, self.reasons, self.seen = table, known_reasons(rules), Observation()
+
+    def attach(self, tagged: DataFrame) -> DataFrame:
+        bad = F.col("dq_reason") != ""
+        warned = F.col("dq_warn") != "" if "dq_warn" in tagged.columns else F.lit(False)
+        given = F.split("dq_reason", ",")
+        return tagged.observe(
+            self.seen,
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(bad).alias("quarantined"),
+            F.count_if(warned & ~bad).alias("warned"),
+            *[
+                F.count_if(bad & F.array_contains(given, reason)).alias(f"reason_{k}")
+                for k, reason in enumerate(self.reasons)
+            ],
+        )
+
+    def summary(self) -> dict:
+        """Numbers of the table's run; waits for the write."""
+        found = self.seen.get
+        counts = {r: found[f"reason_{k}"] for k, r in enumerate(self.reasons)}
+        return {
+            **summary_of(self.table, found["total"], found["quarantined"], counts),
+            "warned": found["warned"],
+        }
+
+
+def summary_of(table: str, total: int, quarantined: int, by_reason: Mapping[str, int]) -> dict:
+    """Rows, quarantined, their share, and rows per reason, the most frequent first."""
+    given = [(reason, n) for reason, n in by_reason.items() if n]
     return {
         "table": table,
         "total": total,
         "quarantined": quarantined,
         "pct": round(100.0 * quarantined / total, 3) if total else 0.0,
-        "by_reason": dict(sorted(by_reason.items(), key=lambda kv: (-kv[1], kv[0]))),
+        "by_reason": dict(sorted(given, key=lambda kv: (-kv[1], kv[0]))),
     }
 
 
 def summarize(table: str, total: int, bad: DataFrame) -> dict:
-    """Numbers of one table's run: rows, quarantined, their share, and rows per reason."""
+    """The same numbers of rows that were rejected before, in one job.
+
+    The driver gets one entry per combination of reasons, whose number the rules bound.
+    """
     combos = bad.groupBy("dq_reason").agg(F.count("*").alias("rows")).collect()
-    counted = Counter({(r["dq_reason"], False): r["rows"] for r in combos})
-    counted[("", False)] += total - sum(counted.values())
-    return summary_of(table, counted)
+    by_reason: Counter = Counter()
+    for r in combos:
+        for reason in r["dq_reason"].split(","):
+            by_reason[reason] += r["rows"]
+    return summary_of(table, total, sum(r["rows"] for r in combos), by_reason)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -12,7 +11,8 @@ from pyspark.sql.types import TimestampType
 from daygrain.functions.time import LOCAL_ZONE, parse_ts, utc
 from daygrain.operators import quality
 from daygrain.operators.copies import dedupe
-from daygrain.session import configure, millisecond_timestamps
+from daygrain.plans import sessions
+from daygrain.session import configure, millisecond_timestamps, shared_dir
 from daygrain.sinks import files
 from daygrain.sinks.partitions import write_partition
 from daygrain.sinks.watermark import Watermarks, advance
@@ -65,26 +65,30 @@ def process_table(
 ) -> dict:
     """Clean one table of one day; returns its summary.
 
-    The tagged rows are kept between the two writes, so raw text is parsed and copies are
-    ranked once. The watermark moves when both writes are done, never before.
+    The tagged rows are written once to the shared folder and read by the two writes, so raw text is
+    parsed and copies are ranked once, also if an executor is lost between them. The summary
+    is counted during that first write. The watermark moves when all writes are done, never before.
     """
-    tagged = tag_table(prepare(read_table(spark, name, src), name), name, rules).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    tally = quality.Tally(name, rules.get(name))
+    tagged = tally.attach(tag_table(prepare(read_table(spark, name, src), name), name, rules))
+    held = shared_dir(spark, "tagged")
+    index = files.join(clean_dir, sessions.INDEX)
     try:
-        plain = tagged if "dq_warn" in tagged.columns else tagged.withColumn("dq_warn", F.lit(""))
-        combos = quality.tag_counts(plain)
-        summary = quality.summary_of(name, combos)
-        passed = summary["total"] - summary["quarantined"]
+        tagged.write.parquet(held)
+        tagged = spark.read.schema(tagged.schema).parquet(held)
+        summary = tally.summary()
+        if name == schemas.EVENTS:
+            sessions.forget_days(spark, index, [dt])
         clean_rows = write_partition(accepted(tagged, name), files.join(clean_dir, name), dt)
         write_partition(rejected(tagged), files.join(quarantine_dir, name), dt)
+        if name == schemas.EVENTS:
+            sessions.index_days(spark, files.join(clean_dir, name), index, [dt])
     finally:
-        tagged.unpersist()
+        files.delete_folder(spark, held)
     return {
         **summary,
         "clean": clean_rows,
-        "warned": sum(n for (reasons, warned), n in combos.items() if warned and not reasons),
-        "dups_dropped": passed - clean_rows,
+        "dups_dropped": summary["total"] - summary["quarantined"] - clean_rows,
         "watermark_moved": advance(watermarks, name, dt),
     }
 

@@ -9,10 +9,11 @@ from daygrain.functions.time import date_key, iso_weekday, local_date
 from daygrain.functions.values import lookup, money, zip_code
 from daygrain.operators.copies import keep_first
 from daygrain.operators.lookup import attach
+from daygrain.plans.sessions import touched_of_clean
 from daygrain.session import configure, millisecond_timestamps
 from daygrain.sinks.partitions import write_gold
 from daygrain.sources import schemas
-from daygrain.sources.readers import read_day, read_events_upto
+from daygrain.sources.readers import read_day
 
 # Funnel stages in order, and the flag that says a session got that far.
 STAGES = {"page_view": 1, "add_to_cart": 2, "checkout_start": 3, "purchase": 4}
@@ -280,7 +281,7 @@ def run(spark: SparkSession, dt: str, clean: str, gold_dir: str) -> dict[str, in
         out["dim_product"] = build_dim_product(day["products"], translation)
     if day["sellers"] is not None:
         out["dim_seller"] = build_dim_seller(day["sellers"])
-    events = read_events_upto(spark, clean, dt)
+    events = touched_of_clean(spark, clean, dt)
     if events is not None:
         out["fact_sessions"] = build_sessions(events, dt)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daygrain.plans import gold
+from daygrain.plans.gold import build_sessions
+from daygrain.plans.sessions import event_days, touched_events
 from daygrain.registry.base import query, when
 from daygrain.registry.shared_sql import FLAGS_SQL
 from daygrain.registry.star import Star
@@ -44,6 +46,19 @@ def sessions_of_day(star: Star):
     return star.build_sessions(last)
 
 
+@query(
+    "g6_sessions_by_index",
+    _SESSION_COLUMNS
+    + f"""({FLAGS_SQL} s_ranked)
+WHERE last_arrival = (SELECT max(ingest_dt) FROM s_clean_events)""",
+)
+def sessions_by_index(star: Star):
+    """The same sessions, read from the days that the index of the event zone names."""
+    days = event_days(star.spark, star.clean_events_at)
+    found = touched_events(star.spark, star.clean_events_at, star.event_index_at, max(days))
+    return build_sessions(found, max(days))
+
+
 @query(
     "g7_customer_feed",
     """

@@ -18,6 +18,7 @@ from daygrain.operators.quality import load_rules
 from daygrain.operators.versions import SURROGATE, as_of, history
 from daygrain.plans import gold
 from daygrain.plans.clean import accepted, prepare, rejected, tag_table
+from daygrain.plans.sessions import index_days
 from daygrain.session import shared_dir
 from daygrain.sinks import files
 from daygrain.sources import schemas
@@ -119,6 +120,20 @@ class Star(Shop):
             "clean_events", lambda: accepted(self.tagged_events, "events"), "ingest_dt"
         )
 
+    @property
+    def clean_events_at(self) -> str:
+        """The folder of the event zone, one sub-folder per arrival day."""
+        self.clean_events
+        return self.written("clean_events", lambda path: None)
+
+    @cached_property
+    def event_index_at(self) -> str:
+        def write(path: str) -> None:
+            index_days(self.spark, self.clean_events_at, path)
+            files.replace_text(self.spark, files.join(path, "_SUCCESS"), "")
+
+        return self.written("event_index", write)
+
     @cached_property
     def tagged_orders(self) -> DataFrame:
         return self.tagged("orders", self.orders)

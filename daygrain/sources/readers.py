@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -89,6 +91,12 @@ def read_day(spark: SparkSession, clean: str, table: str, dt: str) -> DataFrame
     )
 
 
+def read_days(spark: SparkSession, base: str, days: Iterable[str], column: str = "ingest_dt") -> DataFrame:
+    """Some days of a partitioned table: folders of others are not even listed."""
+    paths = [files.join(base, f"{column}={d}") for d in days]
+    return _with_text_partition(spark.read.option("basePath", base).parquet(*paths), column)
+
+
 def read_events_upto(spark: SparkSession, clean: str, dt: str) -> DataFrame | None:
     """All events that arrived up to `dt`; None unless `dt` itself shipped events."""
     base = files.join(clean, schemas.EVENTS)

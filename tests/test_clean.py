@@ -1,9 +1,12 @@
 import json
+import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.plans import clean, slices
+from daygrain.plans import clean, sessions, slices
 from daygrain.plans.clean import columns_drift
 from daygrain.sinks import files, partitions
 from daygrain.sinks.watermark import Watermarks, advance, latest
@@ -11,25 +14,59 @@ from daygrain.sources import readers, schemas
 from daygrain.sources.definitions import create_table, defined_tables, register_views
 from tests.conftest import collected
 
-DAY = "2017-11-24"
+DAY = "2017-06-14"
+DAYS = ("2017-06-12", "2017-06-13", DAY)
+KINDS = ("page_view", "add_to_cart", "checkout_start", "purchase")
 ORDER_HEADER = ",".join(schemas.RAW["orders"].fieldNames())
 
 
-def event(event_id, ts=f"{DAY}T10:00:00", kind="page_view", session="s1"):
-    return {
-        "event_id": event_id, "session_id": session, "customer_unique_id": "u1",
-        "product_id": "p1", "event_type": kind, "event_ts": ts, "device": "mobile",
-    }
-
-
-def ship(raw, dt, events, orders=("o1,c1,shipped,2017-11-24 12:00:00,,,,2017-12-01 00:00:00",)):
+def drop(seed, size=120, bad=0.2):
+    """Events of one day: some ids repeat, some types are unknown, one line has no id. Times differ."""
+    rnd = random.Random(seed)
+    rows = []
+    for k, minute in enumerate(rnd.sample(range(28 * 1440), size)):
+        day, rest = divmod(minute, 1440)
+        rows.append({
+            "event_id": f"w{seed}-{rnd.randrange(size) if rnd.random() < bad else size + k}",
+            "session_id": f"visit{rnd.randrange(9)}", "customer_unique_id": f"p{rnd.randrange(5)}",
+            "product_id": rnd.choice(["lamp", None]),
+            "event_type": "hover" if rnd.random() < bad / 2 else rnd.choice(KINDS),
+            "event_ts": f"2017-06-{day + 1:02d}T{rest // 60:02d}:{rest % 60:02d}:00",
+            "device": rnd.choice(["tablet", "desktop"]),
+        })
+    if bad:
+        rows[size // 2]["event_id"] = None
+    return rows
+
+
+def judged(rows):
+    """(accepted ids, rows per reason, rejected rows) by a loop over the rows in time order."""
+    seen, good, reasons, rejected = set(), [], Counter(), 0
+    for row in sorted(rows, key=lambda r: r["event_ts"]):
+        found = []
+        if row["event_id"] is None:
+            found.append("null:event_id")
+        if row["event_type"] not in KINDS:
+            found.append("bad_value:event_type")
+        if row["event_id"] in seen:
+            found.append("duplicate:event_id")
+        seen.add(row["event_id"])
+        reasons.update(found)
+        rejected += bool(found)
+        if not found:
+            good.append(row["event_id"])
+    return sorted(good), dict(reasons), rejected
+
+
+def ship(raw, dt, events, orders=0):
     folder = raw / f"dt={dt}"
     (folder / "events").mkdir(parents=True, exist_ok=True)
     lines = [e if isinstance(e, str) else json.dumps(e) for e in events]
     (folder / "events" / "part-0.json").write_text("\n".join(lines) + "\n")
     if orders:
         (folder / "orders").mkdir(exist_ok=True)
-        (folder / "orders" / "part-0.csv").write_text("\n".join([ORDER_HEADER, *orders]) + "\n")
+        rows = [f"q{k},buyer{k},invoiced,2017-06-{k + 1:02d} 08:30:00,,,,2017-07-02 00:00:00" for k in range(orders)]
+        (folder / "orders" / "part-0.csv").write_text("\n".join([ORDER_HEADER, *rows]) + "\n")
 
 
 @pytest.fixture
@@ -39,75 +76,89 @@ def lake(spark, tmp_path):
     def run(dt=DAY, **options):
         return {s["table"]: s for s in clean.run(spark, dt, str(raw), str(out), **options)}
 
-    def rows(zone, table):
+    def ids(zone, table="events", key="event_id"):
         df = readers.read_partitions(spark, str(out / zone / table))
-        return 0 if df is None else df.count()
+        return [] if df is None else sorted(r[0] or "" for r in df.select(key).collect())
 
-    run.raw, run.out, run.rows = raw, out, rows
+    run.raw, run.out, run.ids = raw, out, ids
     return run
 
 
-def test_running_a_day_twice_changes_nothing(lake):
-    ship(lake.raw, DAY, [event("e1"), event("e2"), event("e2"), event(None)])
-    first, second = lake(), lake()
-    for done in (first, second):
-        assert done["events"]["clean"] == 2 and done["events"]["quarantined"] == 2
-        assert done["orders"]["clean"] == 1
-    assert (lake.rows("clean", "events"), lake.rows("quarantine", "events")) == (2, 2)
-    assert lake.rows("clean", "orders") == 1
-    assert first["events"]["watermark_moved"] and not second["events"]["watermark_moved"]
-    assert first["events"]["by_reason"] == {"duplicate:event_id": 1, "null:event_id": 1}
+def test_day_equals_a_loop_however_often_it_runs(spark, lake, monkeypatch):
+    """Counts are taken while writing: no cached table, and a repetition replaces what it wrote."""
+    monkeypatch.setattr(DataFrame, "persist", None)
+    rows = drop(1)
+    good, reasons, rejected = judged(rows)
+    assert set(reasons) == {"null:event_id", "bad_value:event_type", "duplicate:event_id"}
+    ship(lake.raw, DAY, rows, orders=7)
+    for moved in (True, False):
+        done = lake()
+        assert done["events"] == {
+            "table": "events", "total": len(rows), "quarantined": rejected, "pct": round(100 * rejected / len(rows), 3),
+            "by_reason": reasons, "clean": len(good), "warned": 0, "dups_dropped": 0, "watermark_moved": moved,
+        }
+        assert list(done["events"]["by_reason"]) == sorted(reasons, key=lambda r: (-reasons[r], r))
+        assert lake.ids("clean") == good and len(lake.ids("quarantine")) == rejected
+        assert done["orders"]["clean"] == len(lake.ids("clean", "orders", "order_id")) == 7
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
 def test_broken_lines_are_kept_with_their_text(spark, lake):
-    ship(lake.raw, DAY, [event("e1"), '{"event_id": "e2", "session'])
-    lake()
-    bad = readers.read_partitions(spark, str(lake.out / "quarantine" / "events"))
-    row = bad.first()
-    assert row["dq_reason"].startswith("corrupt_record") and row["_corrupt_record"] is not None
-
-
-def test_corrected_data_clears_the_quarantine(lake):
-    ship(lake.raw, DAY, [event("e1", kind="page_viw")])
-    lake()
-    assert (lake.rows("clean", "events"), lake.rows("quarantine", "events")) == (0, 1)
-    ship(lake.raw, DAY, [event("e1")])
-    lake()
-    assert lake.rows("clean", "events") == 1
-    assert not (lake.out / "quarantine" / "events" / f"ingest_dt={DAY}").exists()
-
-
-def test_late_event_lands_on_its_arrival_day(spark, lake):
-    ship(lake.raw, "2017-11-23", [event("e1", "2017-11-23T10:00:00"),
-                                  event("e2", "2017-11-23T11:00:00")])
-    ship(lake.raw, DAY, [event("e3", "2017-11-23T23:59:00")])
-    lake("2017-11-23")
-    lake(DAY)
-    clean_dir = str(lake.out / "clean")
-    assert readers.read_day(spark, clean_dir, "events", "2017-11-23").count() == 2
-    assert readers.read_day(spark, clean_dir, "events", DAY).count() == 1
-    assert readers.read_events_upto(spark, clean_dir, "2017-11-23").count() == 2
-    assert readers.read_events_upto(spark, clean_dir, DAY).count() == 3
-    assert readers.read_events_upto(spark, clean_dir, "2017-11-25") is None
-
-
-def test_watermark_waits_for_both_writes(spark, lake, monkeypatch):
-    ship(lake.raw, DAY, [event("e1"), event(None)])
-    marks = Watermarks(spark, str(lake.out / "marks"))
-    write = clean.write_partition
+    rows = drop(2, 10, bad=0)
+    torn = '{"event_id": "torn", "session'
+    ship(lake.raw, DAY, [*rows, torn])
+    assert lake()["events"]["clean"] == 10
+    row = readers.read_partitions(spark, str(lake.out / "quarantine" / "events")).first()
+    assert row["dq_reason"].startswith("corrupt_record") and row["_corrupt_record"] == torn
+
+
+def test_second_shipment_replaces_the_first(lake):
+    """The better drop has no bad row: what the worse one left in quarantine goes with its folder."""
+    for seed, bad in ((3, 0.5), (4, 0.0), (5, 0.3)):
+        rows = drop(seed, 40, bad)
+        ship(lake.raw, DAY, rows)
+        lake()
+        good, _, rejected = judged(rows)
+        assert lake.ids("clean") == good and len(lake.ids("quarantine")) == rejected
+        assert (lake.out / "quarantine" / "events" / f"ingest_dt={DAY}").exists() == bool(rejected)
+
+
+def test_rows_stay_with_the_day_they_arrived_on(spark, lake):
+    """Event times spread over the month; the folder is the arrival day's all the same."""
+    arrived = {dt: drop(10 + k, 30) for k, dt in enumerate(DAYS)}
+    for dt, rows in arrived.items():
+        ship(lake.raw, dt, rows)
+        lake(dt)
+    zone, so_far = str(lake.out / "clean"), 0
+    for dt, rows in arrived.items():
+        good = judged(rows)[0]
+        so_far += len(good)
+        assert collected(readers.read_day(spark, zone, "events", dt), "event_id") == [(i,) for i in good]
+        assert readers.read_events_upto(spark, zone, dt).count() == so_far
+    assert readers.read_events_upto(spark, zone, "2017-06-15") is None
+
+
+@pytest.mark.parametrize("broken", ["clean", "quarantine"])
+def test_nothing_counts_as_done_after_half_a_run(spark, lake, monkeypatch, broken):
+    ship(lake.raw, DAY, drop(6, 20))
+    marks, write = Watermarks(spark, str(lake.out / "marks")), clean.write_partition
 
     def failing(df, base, dt):
-        if "quarantine" in base:
-            raise OSError("disk full")
+        if f"/{broken}/" in base:
+            raise OSError("no space left")
         return write(df, base, dt)
 
-    monkeypatch.setattr(clean, "write_partition", failing)
-    with pytest.raises(OSError):
-        lake(watermarks=marks, tables=["events"])
-    assert marks.get("events") is None
-    monkeypatch.setattr(clean, "write_partition", write)
-    lake(watermarks=marks, tables=["events"])
-    assert marks.get("events") == DAY
+    indexed = lake.out / "clean" / sessions.INDEX / sessions.MARKERS / DAY
+    for attempt in (failing, write, failing):
+        monkeypatch.setattr(clean, "write_partition", attempt)
+        if attempt is failing:
+            before = marks.get("events")
+            with pytest.raises(OSError):
+                lake(watermarks=marks, tables=["events"])
+            assert marks.get("events") == before and not indexed.exists()
+        else:
+            lake(watermarks=marks, tables=["events"])
+            assert marks.get("events") == DAY and indexed.exists()
 
 
 def test_watermark_never_moves_back(spark, tmp_path):
@@ -123,7 +174,7 @@ def test_reviews_are_kept_once_per_order(spark, lake):
     folder = lake.raw / f"dt={DAY}" / "order_reviews"
     folder.mkdir(parents=True)
     header = ",".join(schemas.RAW["order_reviews"].fieldNames())
-    stamp = "2017-11-24 00:00:00,2017-11-25 00:00:00"
+    stamp = "2017-06-14 00:00:00,2017-06-15 00:00:00"
     (folder / "part-0.csv").write_text(
         f'{header}\nr1,o1,5,t,"two\nlines, ""quoted""",{stamp}\nr1,o1,5,t,again,{stamp}\n'
         f"r1,o2,4,,,{stamp}\nr2,o3,9,,,{stamp}\n"
@@ -169,7 +220,8 @@ def test_file_system_root_is_safe(spark):
 
 
 def test_definitions_follow_the_schemas(spark, lake):
-    ship(lake.raw, DAY, [event("e1"), event(None)])
+    rows = drop(7, 12)
+    ship(lake.raw, DAY, rows, orders=1)
     lake()
     rules = {"events": {}, "orders": {}}
     assert defined_tables("quarantine", rules) == ["orders", "events"]
@@ -180,7 +232,7 @@ def test_definitions_follow_the_schemas(spark, lake):
     made = register_views(spark, str(lake.out / "clean"), "clean", rules)
     assert sorted(made) == ["clean_events", "clean_orders"]
     query = f"SELECT event_id, dq_warn FROM clean_events WHERE ingest_dt = '{DAY}'"
-    assert [tuple(r) for r in spark.sql(query).collect()] == [("e1", "")]
+    assert collected(spark.sql(query)) == [(i, "") for i in judged(rows)[0]]
 
 
 def test_drift_between_declared_and_observed(spark):

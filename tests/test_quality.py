@@ -63,12 +63,15 @@ def test_range_ends_belong_to_the_range(frame):
     assert tagged.where("dq_reason != ''").count() == 1
 
 
-def test_positive_leaves_null_to_not_null(frame):
-    df = frame([("a", -1), ("b", None), ("c", 5), ("d", 0)], "id string, price double")
-    tagged = quality.tag_rows(df, {"reject": {"not_null": ["price"], "positive": ["price"]}})
-    assert reasons(tagged, "id") == {
-        ("a", "non_positive:price"), ("b", "null:price"), ("d", "non_positive:price")
-    }
+@pytest.mark.parametrize("kinds", [["positive"], ["not_null"], ["positive", "not_null"]])
+def test_a_missing_number_breaks_not_null_alone(frame, kinds):
+    weights = {"anvil": 31.5, "balloon": -0.25, "crate": 0.0, "drum": None, "egg": 0.01}
+    tagged = quality.tag_rows(
+        frame(list(weights.items()), "part string, kg double"), {"reject": {kind: ["kg"] for kind in kinds}}
+    )
+    want = {(p, "non_positive:kg") for p, kg in weights.items() if "positive" in kinds and kg is not None and kg <= 0}
+    want |= {("drum", "null:kg")} if "not_null" in kinds else set()
+    assert reasons(tagged, "part") == want
 
 
 LOANS = "id string, state string, due date, returned date, fined date"
@@ -111,15 +114,30 @@ def test_copy_of_a_rejected_row_is_still_a_copy(frame):
     ]
 
 
-def test_summary(frame):
-    df = frame([("a",), ("b",), (None,), ("c",)], "id string")
-    tagged = quality.tag_rows(df, {"reject": {"not_null": ["id"]}})
-    expected = {
-        "table": "t", "total": 4, "quarantined": 1, "pct": 25.0, "by_reason": {"null:id": 1}
-    }
-    assert quality.summary_of("t", quality.tag_counts(tagged)) == expected
-    assert quality.summarize("t", 4, tagged.where("dq_reason != ''")) == expected
-    assert quality.summarize("t", 0, tagged.where("false"))["pct"] == 0.0
+def test_counts_of_a_write_and_of_a_query_agree(spark, tmp_path):
+    """Random docks and repeated scans: the tally of the write, the report's query and a loop."""
+    rnd = random.Random(8)
+    docks = ["north", "south", "cellar", None]
+    rows = [(f"s{rnd.randrange(400)}", rnd.choice(docks), f"2021-03-{rnd.randrange(1, 30):02d}T10:00:00") for _ in range(500)]
+    tagged = quality.tag_rows(
+        parse_ts(spark.createDataFrame(rows, "scan_id string, dock string, seen_at string"), "seen_at"),
+        SCAN_RULES | {"warn": {"allowed_values": {"dock": ["north"]}}},
+    )
+    tally = quality.Tally("scans", SCAN_RULES)
+    tally.attach(tagged).write.parquet(str(tmp_path / "scans"))
+    written = spark.read.parquet(str(tmp_path / "scans"))
+    found = tally.summary()
+    texts = [r[0].split(",") if r[0] else [] for r in written.select("dq_reason").collect()]
+    flat = [reason for given in texts for reason in given]
+    assert found["by_reason"] == {r: flat.count(r) for r in set(flat)} and len(found["by_reason"]) == 3
+    assert (found["total"], found["quarantined"]) == (500, sum(map(bool, texts)))
+    assert found["warned"] == sum(d == "south" and not t for d, t in zip(
+        [r[0] for r in written.select("dock").collect()], texts, strict=True))
+    warned = found.pop("warned")
+    assert warned > 0
+    assert quality.summarize("scans", 500, written.where("dq_reason != ''")) == found
+    nothing = quality.summarize("scans", 0, written.where("false"))
+    assert nothing == {"table": "scans", "total": 0, "quarantined": 0, "pct": 0.0, "by_reason": {}}
 
 
 def test_shipped_rules_load():
