@@ -94,6 +94,19 @@ def apply_feed(
     return _versions(both.select(person, F.inline(rows)), person, attrs)
 
 
+def observed_history(
+    log: DataFrame, seen: str, person: str = PERSON, attrs: Sequence[str] = ADDRESS
+) -> DataFrame:
+    """All versions of a log of snapshots, of which a day may be in it repeatedly.
+
+    The snapshot with the smallest `seen` counts for its day, so a repeated load changes nothing.
+    Whatever the order in which days arrived, the versions are those of the days in order.
+    """
+    first = F.min_by(F.struct(*attrs), seen).alias("_first")
+    days = log.groupBy(person, "effective_date").agg(first)
+    return history(days.select(person, "effective_date", "_first.*"), person, attrs)
+
+
 def as_of(
     facts: DataFrame,
     dim: DataFrame,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -72,3 +75,38 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
     context.rename(draft, jvm.org.apache.hadoop.fs.Path(path), options)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless one is there; of several writers exactly one gets True.
+
+    The text is complete before the name exists. Hadoop's rename without overwriting decides on the
+    name node; a local rename would replace silently, but a hard link does not.
+    """
+    fs, draft = _open(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        if fs.getScheme() == "file":
+            link, known = (
+                jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (target, draft)
+            )
+            jvm.java.nio.file.Files.createLink(link, known)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                draft.toUri(), spark._jsc.hadoopConfiguration()
+            )
+            rename = jvm.org.apache.hadoop.fs.Options.Rename
+            options = spark.sparkContext._gateway.new_array(rename, 1)
+            options[0] = rename.NONE
+            context.rename(draft, target, options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
+    return True
