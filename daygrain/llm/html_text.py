@@ -1,21 +1,23 @@
 """Main text of web pages: site templates are found by counting element subtrees per host.
 
 Every page is read as a tree of elements; tags that were never closed are closed where the next
-block or their parent ends. Each element outside the main content (`article` or `main`, where a page has
-one) that holds text gets a digest of its whole subtree: tags, class and role, and text. Spark counts
-the pages of each host on which a digest occurs; a subtree on more than `MIN_PAGES` pages that
-is also on more than `MIN_SHARE` of the host's pages is the site's template and is deleted.
+block or their parent ends. Each element that holds text gets a digest of its whole subtree: tags,
+class and role, and text. Spark counts on how many different pages of each host a digest occurs; a page that
+is there repeatedly is one page. Outside the main content (`article` or `main`, where a page has one) a
+subtree on more than `MIN_PAGES` pages and more than `MIN_SHARE` of the host's is the site's template and is deleted. Inside
+it articles repeat whole paragraphs with reason, so there it takes `INNER_PAGES` and `INNER_SHARE`: what nearly every page of
+the host says. A page that would have no text left keeps all of it.
 
 Elements that are never main text go whatever their count: head, scripts, styles, forms, navigation,
-page headers and footers, asides, and elements whose class, id or role says that they are a menu, sidebar,
-notice, advert or reader comment. If a page has an `article` or `main`, its text is that element's;
-an article inside another one (a reader's comment, a teaser) is not. Templates inside
-the main content are not deleted, since articles repeat whole paragraphs with reason.
+page headers and footers, asides. If a page has an `article` or `main`, its text is that element's;
+an article inside another one (a reader's comment, a teaser) is not. In there an element goes by name only if
+a whole word of its class or id is one of `INNER_NAMES`; on pages without main content, where nothing else tells a menu,
+sidebar, notice, advert or comment on a single page, by part of the name, too.
 
 Text is joined per block: character references decoded, white space made one space, trimmed, empty
 blocks dropped, blocks joined by a newline. NULL or empty html has an empty text, a NULL url the host
-''. Malformed html never fails: a `<` that begins no tag is text. Repeated rows are pages like any
-other. A host with a large part of all pages is only counted, by partial aggregates, and its templates
+''. Malformed html never fails: a `<` that begins no tag is text. Very long pages are read whole. There are no ties:
+a digest is counted or not. A host with a large part of all pages is only counted, by partial aggregates, and its templates
 (few, since each covers a share of its pages) come back by a join on the host that broadcasts those
 of hot hosts. Empty tables give empty results; extra columns are not read.
 """
@@ -37,6 +39,9 @@ from daygrain.llm.url_filter import host_and_path
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+# The same within the main content.
+INNER_PAGES = 20
+INNER_SHARE = 0.8
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,6 +74,11 @@ NEVER_NAMES = re.compile(
     re.I,
 )
 
+# Whole words of class or id that name what is no article text even inside an article.
+INNER_NAMES = frozenset(
+    "ad ads advert advertisement adsbygoogle comments comment-list cookie-notice newsletter share sharing sidebar".split()
+)
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|"
     r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|$)",
@@ -154,6 +164,8 @@ def never_text(element: Element, inside: bool) -> bool:
         return not inside
     if tag in ("body", "html", "main", "#page"):
         return False
+    if inside:
+        return not INNER_NAMES.isdisjoint(element.marks.lower().split())
     return bool(element.marks and NEVER_NAMES.search(element.marks))
 
 
@@ -183,48 +195,61 @@ def _articles(element: Element) -> list[Element]:
     return out
 
 
-def digests(root: Element) -> dict[int, str]:
-    """A digest of the subtree of every element that holds text, by the element's identity.
+def digests(root: Element, mains: list[Element]) -> tuple[dict[int, int], dict[int, int], int]:
+    """64-bit digests of the subtrees that hold text, by the element's identity: outside and inside
+    the main content; and the digest of the whole page.
 
-    Main content is left out, and with it all elements around it.
+    The main content itself and the elements around it have none.
     """
-    protected = {id(e) for e in main_of(root)}
-    out: dict[int, str] = {}
+    tops = {id(e) for e in mains}
     # Children before parents, without recursion: pages may be nested deeply.
-    order, todo = [], [root]
+    order: list[tuple[Element, bool]] = []
+    todo = [(root, False)]
     while todo:
-        element = todo.pop()
-        order.append(element)
-        if id(element) not in protected:
-            todo.extend(e for e in element.parts if isinstance(e, Element))
-    open_: set[int] = set()
+        element, inside = todo.pop()
+        order.append((element, inside))
+        inside |= id(element) in tops
+        todo.extend((e, inside) for e in element.parts if isinstance(e, Element))
+    around: set[int] = set()
     whole: dict[int, bytes] = {}
-    for element in reversed(order):
+    textual: set[int] = set()
+    found: tuple[dict[int, int], dict[int, int]] = ({}, {})
+    for element, inside in reversed(order):
         key = id(element)
-        if key in protected:
-            open_.add(key)
-            continue
-        sums, textual = hashlib.md5(f"{element.tag}\x00{element.marks}".encode("utf-8", "replace")), False
+        sums = hashlib.md5(f"{element.tag}\x00{element.marks}".encode("utf-8", "replace"))
         for part in element.parts:
             if isinstance(part, str):
                 words = " ".join(part.split())
-                textual |= bool(words)
+                if words:
+                    textual.add(key)
                 sums.update(b"\x01" + words.encode("utf-8", "replace"))
-            elif id(part) in open_:
-                open_.add(key)
             else:
                 sums.update(b"\x02" + whole[id(part)])
-                textual |= id(part) in out
+                if id(part) in textual:
+                    textual.add(key)
+                if id(part) in tops or id(part) in around:
+                    around.add(key)
         whole[key] = sums.digest()
-        if textual and key not in open_ and element is not root:
-            out[key] = sums.hexdigest()
-    return out
+        if key in textual and key not in around and key not in tops and element is not root:
+            found[inside][key] = int.from_bytes(whole[key][:8], "big", signed=True)
+    return (*found, int.from_bytes(whole[id(root)][:8], "big", signed=True))
+
 
+def text_of(root: Element, outer: frozenset = frozenset(), inner: frozenset = frozenset()) -> str:
+    """The main text, without subtrees whose digest is a template outside or inside the main content.
 
-def text_of(root: Element, template: frozenset = frozenset()) -> str:
-    """The main text, without subtrees whose digest is in `template`."""
-    marks = digests(root) if template else {}
+    A page whose whole text is templates keeps it.
+    """
     mains = main_of(root)
+    if outer or inner:
+        outside, inside, _ = digests(root, mains)
+        gone = {k for k, d in outside.items() if d in outer} | {k for k, d in inside.items() if d in inner}
+        if gone and (text := _text(root, mains, gone)):
+            return text
+    return _text(root, mains, set())
+
+
+def _text(root: Element, mains: list[Element], gone: set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -245,7 +270,7 @@ def text_of(root: Element, template: frozenset = frozenset()) -> str:
             line.append(part)
         else:
             own = id(part) in tops
-            if not own and (never_text(part, inside) or marks.get(id(part)) in template or (inside and part.tag == "article")):
+            if not own and (never_text(part, inside) or id(part) in gone or (inside and part.tag == "article")):
                 if part.tag in BLOCKS:
                     close()
                 continue
@@ -258,39 +283,54 @@ def text_of(root: Element, template: frozenset = frozenset()) -> str:
 
 
 def _page_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, inner, digest, page) for each subtree of each page; a page itself has the digest NULL."""
     for batch in batches:
-        hosts, found = [], []
+        hosts, inner, found, pages = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = set(digests(parse(page.as_py() or "")).values())
+            root = parse(page.as_py() or "")
+            outside, inside, whole = digests(root, main_of(root))
+            own = [(False, None), *((False, d) for d in set(outside.values())), *((True, d) for d in set(inside.values()))]
             hosts.extend([host] * len(own))
-            found.extend(own)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.string())], ["host", "digest"])
+            inner.extend(k for k, _ in own)
+            found.extend(d for _, d in own)
+            pages.extend([whole] * len(own))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(inner, pa.bool_()), pa.array(found, pa.int64()), pa.array(pages, pa.int64())],
+            ["host", "inner", "digest", "page"],
+        )
 
 
 def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, url, html) to (host, template): digests of the subtrees that recur on the host.
+    """(host, html) to (host, outer, inner): digests of the subtrees that recur on the host.
 
     A page has at most as many template subtrees as elements, and each covers a share of the
-    host's pages, so a host's list is bounded by the elements of 1 / MIN_SHARE pages.
+    host's pages, so a host's lists are bounded by the elements of 1 / MIN_SHARE pages.
     """
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counted = (
-        pages.select("host", "html").mapInArrow(_page_digests, "host string, digest string")
-        .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MIN_PAGES)
+        pages.select("host", "html")
+        .mapInArrow(_page_digests, "host string, inner boolean, digest long, page long")
+        .groupBy("host", "inner", "digest", "page").agg(F.lit(1).alias("once"))
+        .groupBy("host", "inner", "digest").agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = scratch.save(counted, "recurring")
+    least = F.when(F.col("inner"), INNER_PAGES).otherwise(MIN_PAGES)
+    counted = scratch.save(counted.where(F.col("digest").isNull() | (F.col("n") > least)), "recurring")
+    sizes = counted.where("digest IS NULL").select("host", F.col("n").alias("pages"))
+    share = F.when(F.col("inner"), INNER_SHARE).otherwise(MIN_SHARE)
     return (
-        counted.join(scratch.save(sizes, "sizes"), "host").where(F.col("n") > MIN_SHARE * F.col("pages"))
-        .groupBy("host").agg(F.collect_list("digest").alias("template"))
+        counted.where("digest IS NOT NULL").join(sizes, "host").where(F.col("n") > share * F.col("pages"))
+        .groupBy("host").agg(
+            F.collect_list(F.when(~F.col("inner"), F.col("digest"))).alias("outer"),
+            F.collect_list(F.when(F.col("inner"), F.col("digest"))).alias("inner"),
+        )
     )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, template in zip(batch.column(2), batch.column(3)):
+        for page, *known in zip(batch.column(2), batch.column(3), batch.column(4)):
             source = page.as_py()
-            texts.append(text_of(parse(source), frozenset(template.as_py() or ())) if source else "")
+            texts.append(text_of(parse(source), *(frozenset(k.as_py() or ()) for k in known)) if source else "")
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
         )
@@ -304,7 +344,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     found = scratch.save(templates(rows, scratch), "templates")
     # Only hosts that have a template need the join.
     hot = scratch.save(hot_keys(rows.select("host"), "host").join(found.select("host"), "host", "left_semi"), "hot")
-    joined = attach(rows, found, "host", hot).select("page_id", "url", "html", "template")
+    joined = attach(rows, found, "host", hot).select("page_id", "url", "html", "outer", "inner")
     return joined.mapInArrow(_texts, "page_id long, url string, text string").withColumn(
         "n_chars", F.char_length("text").cast("long")
     )

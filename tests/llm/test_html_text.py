@@ -1,11 +1,13 @@
 """Main text of pages: made-up markup, the given pages against their articles, templates."""
 
 import html
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from daygrain.llm import html_text
+from daygrain.llm.common import Scratch
 from daygrain.llm.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -59,6 +61,63 @@ def test_templates_are_removed(spark):
     assert got.count() == len(rows) and html_text.extract(pages.where(F.lit(False))).collect() == []
 
 
+def by_loops(rows):
+    """The template digests of each host, by counting in Python."""
+    seen, pages = {}, {}
+    for host, page in rows:
+        root = html_text.parse(page)
+        outside, inside, whole = html_text.digests(root, html_text.main_of(root))
+        pages.setdefault(host, set()).add(whole)
+        for inner, found in ((False, outside), (True, inside)):
+            for d in found.values():
+                seen.setdefault((host, inner, d), set()).add(whole)
+    out = {}
+    for (host, inner, d), on in seen.items():
+        least, share = ((html_text.INNER_PAGES, html_text.INNER_SHARE) if inner else (html_text.MIN_PAGES, html_text.MIN_SHARE))
+        if len(on) > least and len(on) > share * len(pages[host]):
+            out.setdefault(host, (set(), set()))[inner].add(d)
+    return out
+
+
+def test_template_sets_equal_loops(spark):
+    rnd = random.Random(2)
+    lines = [f"<p>line {k}</p>" for k in range(6)]
+    rows = []
+    for k in range(300):
+        host = rnd.choice(["a", "a", "b", "c", ""])
+        body = "".join(line for line in lines if rnd.random() < {"a": 0.9, "b": 0.15}.get(host, 0.5)) + f"<p>own {rnd.randrange(60)}</p>"
+        rows.append((host, rnd.choice([f"<div>{body}</div>", f"<p>menu</p><article>{body}</article>", body])))
+    rows += rows[:40]
+    pages = spark.createDataFrame(rows, "host string, html string").repartition(4)
+    found = html_text.templates(pages, Scratch(spark, "t")).collect()
+    assert {r.host: (set(r.outer), set(r.inner)) for r in found} == by_loops(rows)
+
+
+def test_pages_are_never_emptied(spark):
+    """A page that a third of the host's rows repeat is one page; one that is all template keeps its text."""
+    rows = [(k, "http://a.com/x", "<html><body><p>The same page.</p></body></html>") for k in range(10)]
+    rows += [(100 + k, "http://a.com/y", f"<html><body><div>Welcome</div><p>Page {k}</p></body></html>") for k in range(20)]
+    rows += [(200, "http://a.com/z", "<html><body><div>Welcome</div></body></html>")]
+    texts = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {texts[k] for k in range(10)} == {"The same page."}
+    assert {texts[100 + k] for k in range(20)} == {f"Page {k}" for k in range(20)} and texts[200] == "Welcome"
+
+
+def test_names_inside_the_main_content():
+    for mark in ("class=social-history", "class=comments-on-law", "id=related-work", "class=advertising-theory"):
+        assert text(f"<article><p>a</p><div {mark}>kept</div></article>") == "a\nkept"
+    for mark in ("class=comments", "class='wide newsletter'", "id=share", "class=ad"):
+        assert text(f"<article><p>a</p><div {mark}>gone</div></article>") == "a"
+
+
+def test_what_all_pages_say_inside_their_article(spark):
+    """A notice without a name on every article of the host goes, a paragraph quoted on half of them stays."""
+    page = "<article><p>Story {k}</p>{quote}<div>Read more on our front page</div></article>"
+    rows = [(k, "http://a.com/", page.format(k=k, quote="<p>As was said.</p>" if k % 2 else "")) for k in range(40)]
+    texts = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert texts[3] == "Story 3\nAs was said." and texts[4] == "Story 4"
+
+
 def test_repeated_paragraphs_of_articles_stay(spark):
     rows = [(k, f"http://a.com/{k}", f"<p>Menu</p><article><p>Same words.</p><p>Page {k}</p></article>") for k in range(12)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
