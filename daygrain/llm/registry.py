@@ -197,8 +197,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
     outcomes = labels.groupBy(F.col("doc_id").cast("string").alias("shows")).agg(F.min(good).alias("outcome"))
     _, path = url_filter.host_and_path(F.col("url"))
-    shows = F.regexp_extract(path, r"/([0-9]+)(?:\.html|/)?$", 1)
-    labelled = pages.select("page_id", "url", shows.alias("shows")).join(outcomes, "shows", "left")
+    shows = F.nullif(F.regexp_extract(path, r"/([0-9]+)(?:\.html|/)?$", 1), F.lit(""))
+    labelled = url_filter.with_outcomes(pages, shows, outcomes)
     judged = url_filter.judge(labelled, url_filter.rule_table(spark), outcome="outcome")
     return judged.select("page_id", "host", "path", "rule", "verdict")
 

@@ -13,12 +13,15 @@ below `MIN_GOOD`, so that a host without evidence is not blocked.
 A NULL url or one without `://` has an empty host and path and is judged by the corpus alone. Hosts are
 those of all pages, labelled or not; a page's outcome may be NULL. A host with a large part of all
 pages is reduced by partial aggregates, and its verdict reaches its pages by broadcast. Repeated
-rows count as often as they come. Empty tables give empty results; without any outcome everything
+rows count as often as they come. Rules of one length that fit are in the order of their text. Very long
+urls meet only row-level functions; extra columns are not read. Empty tables give empty results; without any outcome everything
 that no rule blocks is allowed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,14 +58,14 @@ def _labels(host: Column) -> Column:
     return F.split(host, r"\.")
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def _strength(groups: DataFrame) -> Column:
@@ -82,9 +85,10 @@ def _shrunk(groups: DataFrame) -> DataFrame:
     )
 
 
-def reputations(hosts: DataFrame, scratch: Scratch) -> DataFrame:
+def reputations(hosts: DataFrame, scratch: Scratch, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """(host, n, good) to (host, reputation, low, high): posterior mean and bounds."""
-    named = hosts.select("host", "n", "good", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    domain, suffix = domain_of(F.col("host"), suffixes), suffix_of(F.col("host"), suffixes)
+    named = hosts.select("host", "n", "good", domain.alias("domain"), suffix.alias("suffix"))
     total = F.sum("good"), F.sum("n")
     corpus = named.agg(F.coalesce(F.try_divide(*total), F.lit(1.0))).first()[0]
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -104,6 +108,17 @@ def reputations(hosts: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
+def with_outcomes(pages: DataFrame, shows: Column, outcomes: DataFrame, url: str = "url", page_id: str = "page_id") -> DataFrame:
+    """page_id, url and the outcome of the document that each page shows; `outcomes` has (shows, outcome).
+
+    Pages that show none, which may be most, stay where they are, and a document shown by very many is broadcast.
+    """
+    scratch = Scratch(pages.sparkSession, "outcomes")
+    rows = scratch.save(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), shows.alias("shows")), "rows")
+    known = scratch.save(outcomes, "known")
+    return attach(rows, known, "shows", scratch.save(hot_keys(rows, "shows"), "hot")).drop("shows")
+
+
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "rule_host string, rule_path string, verdict string")
 
@@ -124,10 +139,14 @@ def _fitting(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", outcome: str | None = None) -> DataFrame:
+def judge(
+    pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", outcome: str | None = None,
+    suffixes: Sequence[str] = TWO_LABEL_SUFFIXES,
+) -> DataFrame:
     """page_id, host, path, rule, verdict and the host's reputation bound of every page.
 
-    `outcome` names a column with 1 for a good page, 0 for a bad one, NULL where unknown.
+    `outcome` names a column with 1 for a good page, 0 for a bad one, NULL where unknown. `suffixes`
+    are the public suffixes of two labels; the default is a short list of common ones.
     """
     scratch = Scratch(pages.sparkSession, "url-filter")
     host, path = host_and_path(F.col(url))
@@ -137,7 +156,7 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
         rows.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")), "hosts"
     )
     lookup = scratch.save(
-        reputations(hosts, scratch).select("host", "reputation", "high").join(_fitting(hosts, rules), "host", "left"), "lookup"
+        reputations(hosts, scratch, suffixes).select("host", "reputation", "high").join(_fitting(hosts, rules), "host", "left"), "lookup"
     )
     found = attach(rows, lookup, "host", scratch.save(hot_keys(rows, "host"), "hot"))
     fits = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"])), F.lit(0))

@@ -37,3 +37,18 @@ def test_domains(spark):
     frame = spark.createDataFrame([(h,) for h in hosts], "host string")
     for r in frame.select("host", url_filter.domain_of(frame.host), url_filter.suffix_of(frame.host)).collect():
         assert (r[1], r[2]) == hosts[r.host]
+
+
+def test_suffixes_are_a_parameter(spark):
+    frame = spark.createDataFrame([("shop.city.kawasaki.jp",)], "host string")
+    row = frame.select(url_filter.domain_of(frame.host, ["kawasaki.jp"]), url_filter.suffix_of(frame.host, ["kawasaki.jp"])).first()
+    assert tuple(row) == ("city.kawasaki.jp", "kawasaki.jp")
+
+
+def test_pages_that_show_no_document(spark):
+    """A third of the pages has no number and a third shows one document: neither is shuffled by that key."""
+    shows = [None if k % 3 == 0 else "7" if k % 3 == 1 else str(k) for k in range(3000)]
+    pages = spark.createDataFrame([(k, f"http://a.com/{k}", s) for k, s in enumerate(shows)], "page_id long, url string, at string")
+    outcomes = spark.createDataFrame([("7", 1), ("2", 0), ("x", 1)], "shows string, outcome int")
+    got = {r.page_id: r.outcome for r in url_filter.with_outcomes(pages, pages.at, outcomes).collect()}
+    assert got == {k: {"7": 1, "2": 0}.get(s) for k, s in enumerate(shows)}
