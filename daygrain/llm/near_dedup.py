@@ -296,13 +296,14 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, clusters: Da
         rows.join(placed.select("node", "rep").hint("merge"), F.col("doc_id") == F.col("rep"))
         .select("node", "text").mapInArrow(_sets, kind)
     )
-    # A class without any id is found by its set. Copies are one row before they leave the map side.
-    unnamed = (
-        rows.where("doc_id IS NULL").select("text").mapInArrow(_all_sets, kind)
-        .groupBy("node").agg(F.first("elements").alias("elements"))
-        .join(placed.where("rep IS NULL").select("node"), "node", "left_semi")
-    )
-    sets = scratch.save(named.unionByName(unnamed), "sets")
+    if not placed.where("rep IS NULL").isEmpty():
+        # A class without any id is found by its set. Copies are one row before they leave the map side.
+        named = named.unionByName(
+            rows.where("doc_id IS NULL").select("text").mapInArrow(_all_sets, kind)
+            .groupBy("node").agg(F.first("elements").alias("elements"))
+            .join(placed.where("rep IS NULL").select("node"), "node", "left_semi")
+        )
+    sets = scratch.save(named, "sets")
     # Each block with itself and with the head of its cluster, which is the label.
     own = placed.select("label", F.col("block").alias("low"), F.col("block").alias("high"), "node")
     heads = placed.where("blocks > 1").select(
