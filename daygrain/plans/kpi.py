@@ -37,8 +37,8 @@ def revenue_by_category_and_state(
 ) -> DataFrame:
     """Item revenue by product category and the customer's state when the order was placed.
 
-    Items are first summed per order, product and customer version: joins then carry one row
-    for each of these, and a hot product or customer is already reduced.
+    Items are first summed per order, product and customer version, so joins carry one row for
+    each of these. That does not reduce a hot product: the join on it is left to Spark's skew join.
     """
     earning = orders.where(~F.col("order_status").isin(*NO_REVENUE)).select("order_id")
     per_order = (

@@ -98,6 +98,37 @@ def best_windows(df: DataFrame, ts: str, days: int = 11, k: int = 5) -> DataFram
     )
 
 
+def calendar_windows(
+    daily: DataFrame, days: int, value: str, keys: Sequence[str] = (), day: str = "day"
+) -> DataFrame:
+    """Each day of a series with the sum of `value` over that day and the calendar days after it.
+
+    A frame is `days` long whatever days are missing in it. The series is cut into months; a
+    row also goes to the months before whose last frames reach it, so a month is a partition of
+    its own and a long series, or one without keys, is not one task.
+    """
+    month = F.trunc(F.date_sub(day, days - 1), "MM")
+    months = F.sequence(month, F.trunc(day, "MM"), F.expr("INTERVAL 1 MONTH"))
+    spread = daily.select("*", F.explode(months).alias("_month")).withColumn(
+        "_home", F.col("_month") == F.trunc(day, "MM")
+    )
+    ahead = (
+        Window.partitionBy(*keys, "_month")
+        .orderBy(F.datediff(day, F.lit("1970-01-01").cast("date")))
+        .rangeBetween(0, days - 1)
+    )
+    return (
+        spread.withColumn("_total", F.sum(value).over(ahead))
+        .where("_home")
+        .select(
+            *keys,
+            F.col(day).alias("window_start"),
+            F.date_add(day, days - 1).alias("window_end"),
+            F.col("_total").alias(f"{value}_in_window"),
+        )
+    )
+
+
 def shares(df: DataFrame, column: str, out: str = "orders") -> DataFrame:
     """Rows per value and their percentage of all rows (2 decimals)."""
     total = df.agg(_n().alias("total"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.plans import reconcile
@@ -196,6 +199,48 @@ def session_diff_days(star: Star):
     )
 
 
+_SHOWN = ("session_date", "n_events", "session_end", "furthest_stage", "purchased")
+_CHANGED = ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _SHOWN)
+
+
+@query(
+    "r5_row_difference",
+    f"""
+SELECT 'fact_orders' AS "table", order_id AS key,
+       CASE WHEN order_id LIKE '%123' THEN 'only_a' ELSE 'changed' END AS kind,
+       CASE WHEN order_id LIKE '%77' THEN 'payment_value' END AS columns
+FROM s_gold_orders WHERE order_id LIKE '%123' OR order_id LIKE '%77' AND payment_value IS NOT NULL
+UNION ALL
+SELECT 'fact_order_items', order_id || '/' || order_item_id, 'only_b', NULL
+FROM s_gold_items WHERE order_id LIKE '%55'
+UNION ALL
+SELECT 'fact_sessions', session_id, 'changed', columns
+FROM (SELECT session_id, concat_ws(',', {_CHANGED}) AS columns
+      FROM s_sessions a JOIN s_stale_sessions b USING (session_id))
+WHERE columns <> ''""",
+)
+def row_difference(star: Star):
+    """Two copies of three tables: cells changed, rows that only one side has, sessions replayed."""
+    ends = lambda text: F.col("order_id").endswith(text)
+    orders, items = star.gold_orders, star.gold_items
+    more = F.when(ends("77"), F.col("payment_value") + 1).otherwise(F.col("payment_value"))
+    kind = dict(orders.dtypes)["payment_value"]
+    shown = ["session_id", *_SHOWN]
+    copies = {
+        "fact_orders": (orders, orders.withColumn("payment_value", more.cast(kind)).where(~ends("123")), ["order_id"]),
+        "fact_order_items": (items.where(~ends("55")), items, ["order_id", "order_item_id"]),
+        "fact_sessions": (star.sessions.select(shown), stale_sessions(star).select(shown), ["session_id"]),
+    }
+    found = [
+        reconcile.row_difference(a, b, keys).select(
+            F.lit(table).alias("table"), F.concat_ws("/", *keys).alias("key"), "kind",
+            F.array_join("columns", ",").alias("columns"),
+        )
+        for table, (a, b, keys) in copies.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "r6_event_funnel",
     f"""

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from daygrain.plans import kpi
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from daygrain.plans import distinct, kpi
+from daygrain.plans.sessions import event_days
 from daygrain.registry.base import pct, query
 from daygrain.registry.star import Star
 
@@ -108,6 +114,27 @@ def stage_sessions(star: Star):
     return kpi.sessions_by_type(star.clean_events)
 
 
+@query(
+    "b2_by_bitmaps",
+    """
+SELECT 'all' AS days, event_type, count(DISTINCT session_id) AS s FROM s_clean_events GROUP BY 2
+UNION ALL
+SELECT 'late', event_type, count(DISTINCT session_id) FROM s_clean_events
+WHERE ingest_dt > '2024-01-20' GROUP BY 2""",
+)
+def stage_sessions_by_bitmaps(star: Star):
+    """The same counts from the days' bitmaps, over all days and over the later ones."""
+    spark, at = star.spark, star.session_bitmaps_at
+    late = [d for d in event_days(spark, star.clean_events_at) if d > "2024-01-20"]
+    found = [("all", None), *([("late", late)] if late else [])]
+    return reduce(DataFrame.unionByName, [
+        distinct.count_distinct(spark, at, ["event_type"], days).select(
+            F.lit(name).alias("days"), "event_type", F.col("n").alias("s")
+        )
+        for name, days in found
+    ])
+
+
 @query(
     "b2_raw", "SELECT event_type, count(DISTINCT session_id) AS s FROM s_events GROUP BY 1"
 )

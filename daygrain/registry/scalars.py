@@ -202,6 +202,27 @@ def rolling(star: Star):
     return profile.best_windows(star.table("lineitem"), "l_shipdate", days=7, k=20)
 
 
+@query(
+    "w5_calendar",
+    """
+SELECT o_orderpriority, strftime(day, '%Y-%m-%d') AS window_start,
+       strftime(day + 29, '%Y-%m-%d') AS window_end,
+       (sum(n) OVER (PARTITION BY o_orderpriority ORDER BY day
+                     RANGE BETWEEN CURRENT ROW AND INTERVAL 29 DAYS FOLLOWING))::BIGINT
+           AS orders_in_window
+FROM (SELECT o_orderpriority, o_orderdate::DATE AS day, count(*) AS n FROM orders
+      WHERE o_totalprice > 300000 GROUP BY 1, 2)""",
+)
+def rolling_calendar(star: Star):
+    """Large orders of thirty calendar days per priority; most days have none."""
+    day = F.col("o_orderdate").cast("date")
+    daily = (
+        star.table("orders").where("o_totalprice > 300000")
+        .groupBy("o_orderpriority", day.alias("day")).agg(F.count("*").alias("orders"))
+    )
+    return profile.calendar_windows(daily, 30, "orders", keys=["o_orderpriority"])
+
+
 @query(
     "l3_top_bottom",
     """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daygrain.operators.quality import load_rules
 from daygrain.operators.versions import SURROGATE, as_of, history
-from daygrain.plans import gold
+from daygrain.plans import distinct, gold
 from daygrain.plans.clean import accepted, prepare, rejected, tag_table
 from daygrain.plans.sessions import index_days
 from daygrain.session import shared_dir
@@ -134,6 +134,16 @@ class Star(Shop):
 
         return self.written("event_index", write)
 
+    @cached_property
+    def session_bitmaps_at(self) -> str:
+        """Bitmaps of the sessions of each arrival day and event type."""
+
+        def write(path: str) -> None:
+            distinct.index_days(self.clean_events, path, "session_id", ["event_type"])
+            files.replace_text(self.spark, files.join(path, "_SUCCESS"), "")
+
+        return self.written("session_bitmaps", write)
+
     @cached_property
     def tagged_orders(self) -> DataFrame:
         return self.tagged("orders", self.orders)

@@ -14,7 +14,7 @@ from daygrain.plans.warehouse import InvariantError, Warehouse
 from daygrain.registry.base import query, when
 from daygrain.registry.merging import EVENTS_STORED_UPTO
 from daygrain.registry.star import Star
-from daygrain.session import shared_dir
+from daygrain.session import millisecond_timestamps, shared_dir
 from daygrain.sinks import files
 from daygrain.sinks.partitions import (
     overwrite_partitions,
@@ -271,6 +271,21 @@ def replace(star: Star):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query(
+    "k5_milliseconds",
+    """
+SELECT event_id, (epoch_us(ts) + event_id * 7 % 1000) // 1000 * 1000 AS micros FROM events""",
+)
+def milliseconds(star: Star):
+    """Times with microseconds, written the way every zone is: what is read back ends in milliseconds."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") * 7 % 1000
+    df = star.table("events").select("event_id", F.timestamp_micros(micros).alias("event_ts"))
+    base = shared_dir(star.spark, "times")
+    with millisecond_timestamps(star.spark):
+        write_partition(df, base, "all")
+    return star.spark.read.parquet(base).select("event_id", F.unix_micros("event_ts").alias("micros"))
+
+
 SLICE_FIRST, SLICE_LAST = "1997-11-10", "1997-12-09"
 
 
