@@ -1,7 +1,7 @@
 """Quality by nearest-neighbour voting in a latent space.
 
-A document is described by the shares of hashed byte triplets of its outline (small letters,
-capitals, digits and non-ASCII bytes become one symbol each, all other bytes stay) and by how
+A document is described by the shares of hashed byte triplets of its text (A-Z in lower case) and of its outline (small letters,
+capitals, digits and non-ASCII bytes become one symbol each, all other bytes stay), and by how
 much it repeats itself (a word like the one before, a word pair seen before). Weighted by
 inverse document frequency and reduced by a singular value decomposition, these are its latent
 vector. Cosines of every document with every labelled vector are exact products of blocks;
@@ -13,8 +13,10 @@ Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1; no
 text enters a score.
 
 A NULL text is an empty text. A text without triplets has no neighbours and gets the sample's
-share of label 1 before balancing. Without labels every score is 0.5. Repeated rows are scored
-alike; a NULL doc_id is scored, not learned from; extra columns are not read.
+share of label 1 before balancing. Without labels every score is 0.5. Very long texts are read whole. Repeated rows are scored
+alike; a NULL doc_id is scored, not learned from; of an id with several labels the smaller one counts, of one with several texts
+the smaller text. The vectors stand in an order of their own content, so which of several equal cosines is among the nearest
+does not depend on how the tables are stored. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ from daygrain.llm.textblocks import blocks, lowered, mix64, run_hashes, span_has
 PER_LABEL = 2048
 NEIGHBOURS = 25
 LATENT = 48
+# Hashed triplets of the outline, and as many of the text.
 BUCKETS = 1024
+TRIPLETS = 2 * BUCKETS
 # Two counters of repetition, which stand out against some hundred triplets.
 REPEATS = 2
 REPEAT_WEIGHT = 4.0
@@ -46,17 +50,17 @@ _OUTLINE[[9, 11, 12, 13]] = 32
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Square roots of the shares of all buckets, a row per text; all 0 for a text without any."""
     n = len(offsets) - 1
-    out = np.zeros((n, BUCKETS + REPEATS), np.float32)
+    out = np.zeros((n, TRIPLETS + REPEATS), np.float32)
+    low = lowered(data)
     if len(data) >= 3:
-        signs = _OUTLINE[data]
-        code = mix64(signs[:-2] << np.uint64(16) | signs[1:-1] << np.uint64(8) | signs[2:])
         row = np.repeat(np.arange(n), np.diff(offsets))
         inside = row[2:] == row[:-2]
-        cell = row[:-2] * BUCKETS + (code % np.uint64(BUCKETS)).astype(np.int64)
-        out[:, :BUCKETS] = np.bincount(cell[inside], minlength=n * BUCKETS).reshape(n, BUCKETS)
-    total = out.sum(1, keepdims=True)
+        for at, signs in ((0, _OUTLINE[data]), (BUCKETS, low.astype(np.uint64) | np.uint64(1 << 32))):
+            code = mix64(signs[:-2] << np.uint64(16) | signs[1:-1] << np.uint64(8) | signs[2:])
+            cell = row[:-2] * BUCKETS + (code % np.uint64(BUCKETS)).astype(np.int64)
+            out[:, at : at + BUCKETS] = np.bincount(cell[inside], minlength=n * BUCKETS).reshape(n, BUCKETS)
+    total = out[:, :BUCKETS].sum(1, keepdims=True)
     out /= np.maximum(total, 1)
-    low = lowered(data)
     starts, ends, first = word_bounds(low, offsets)
     words = span_hashes(low, starts, ends)
     owner = np.repeat(np.arange(n), np.diff(first))
@@ -68,8 +72,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         _, places = np.unique(pairs ^ mix64(owners.astype(np.uint64) + np.uint64(1)), return_index=True)
         fresh = np.bincount(owners[places], minlength=n)
         total_pairs = np.bincount(owners, minlength=n)
-        out[:, BUCKETS] = REPEAT_WEIGHT * same / counts
-        out[:, BUCKETS + 1] = REPEAT_WEIGHT * (total_pairs - fresh) / counts
+        out[:, TRIPLETS] = REPEAT_WEIGHT * same / counts
+        out[:, TRIPLETS + 1] = REPEAT_WEIGHT * (total_pairs - fresh) / counts
     return np.sqrt(out)
 
 
@@ -132,17 +136,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     parts = [
         learn.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(PER_LABEL) for v in (0, 1)
     ]
-    sample = parts[0].unionByName(parts[1]).dropDuplicates(["id"])
+    sample = parts[0].unionByName(parts[1]).groupBy("id").agg(F.min("label").alias("label"))
     chosen = (
         docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
         .join(F.broadcast(sample), "id")
-        .dropDuplicates(["id"])
+        .groupBy("id", "label").agg(F.min("text").alias("text"))
         .select("label", "text")
     )
     rows = chosen.mapInArrow(_feature_rows, "label int, found binary").collect()
+    rows.sort(key=lambda r: (bytes(r.found), r.label))
     share = learn.agg(F.avg("label")).first()[0]
     if not rows:
-        none = np.zeros((0, BUCKETS + REPEATS), np.float32)
+        none = np.zeros((0, TRIPLETS + REPEATS), np.float32)
         return fit_model(none, np.zeros(0), 0.5 if share is None else share)
     found = np.stack([np.frombuffer(r.found, np.float32) for r in rows])
     return fit_model(found, np.array([r.label for r in rows]), share)

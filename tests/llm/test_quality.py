@@ -52,3 +52,17 @@ def test_odd_rows(spark):
     none = quality.train(docs.limit(0), labels.limit(0))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(docs.limit(0), model).collect() == []
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    """Ties among neighbours, ids with two labels and ids with two texts, stored in two orders."""
+    rows = [(k, f"{'good words of text' if k % 3 else 'BUY!!! now $$$'} number {k % 4}") for k in range(60)] + [(7, "another text"), (7, "a text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(k, int(k % 3 > 0), "x") for k in range(60)] + [(7, 0, "x"), (8, 0, "y")]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, label string")
+    found = []
+    for n in (1, 6):
+        order = F.xxhash64("doc_id", F.lit(n))
+        model = quality.train(docs.repartition(n, order), labels.repartition(n, order))
+        found.append({r.doc_id: r.score for r in quality.score(docs.where("text NOT IN ('another text')"), model).collect()})
+    assert found[0] == found[1]
