@@ -12,7 +12,7 @@ one of the next, so two rows per partition are paired in a second, small step.
 
 A NULL text is an empty text, which has the digest of zeros. A NULL doc_id comes before all others
 and repeated ids follow each other in the order of their texts; a table of one row is its own
-successor. Empty tables give empty results; extra columns are not read.
+successor. Very long texts are hashed whole. Empty tables give empty results; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -10,11 +10,13 @@ and summed in Spark; the model is one number per language and triplet bucket. Le
 document with a language whose crc32(doc_id as text) mod 3 is not 1 (a NULL doc_id is not).
 
 Most texts have one language, and then no pass over their words is needed: if no run of words
-gains more than one penalty in any other language, the constant path is the best one. That test is
+gains more than half a penalty in any other language, the constant path is the best one. That test is
 a running maximum over whole blocks of texts, and only texts that fail it go through Viterbi.
 
 A NULL text or one without a letter is `und` with score 0. With nothing to learn from, all are.
-Repeated rows are labelled alike; extra columns are not read.
+Very long texts are read whole. Of languages with equally many letters the first by name is predicted. Repeated rows
+are labelled alike, empty tables give empty results, extra columns are not read. Spans count code points of the text itself:
+lower-casing maps code point to code point.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ digest), so a source that holds a third of the corpus is spread over all tasks.
 
 NULL or empty texts have size 0 and are never taken. A NULL source is a source of its own, sorted
 last. A source with a size of 0 has target 0. Repeated rows count as often as they come. Empty
-tables give empty results. Results depend on ids and texts only, so reruns agree.
+tables give empty results. Very long texts are only counted. Documents of one draw stand in the order of their ids, and of
+one training time, too. Extra columns are not read, or carried as they are. Results depend on ids and texts only, so reruns agree.
+All sources are ordered in one task, one row each: meant for up to millions of sources, not for one per document.
 """
 
 from __future__ import annotations
