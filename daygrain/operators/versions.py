@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.functions.values import distinct_from
-from daygrain.operators.lookup import attach
+from daygrain.operators.lookup import hot_keys
 
 PERSON = "customer_unique_id"
 ADDRESS = ("zip", "city", "state")
 SURROGATE = "customer_sk"
+# Groups over which the facts of a person with many are dealt.
+LANES = 64
 
 
 def surrogate_key(person: str = PERSON) -> Column:
@@ -117,29 +119,41 @@ def as_of(
     """`facts` with the `take` columns of the version valid on their date, NULL if none was.
 
     Joining on the person and filtering the range would compare all facts of a person with all
-    their versions. Here the dates asked for are made distinct first, so one pass per person
-    in date order finds each version: a person asks at most once per calendar day, however
-    many facts they have. Versions of a person must not overlap, which the checks ensure.
+    their versions. Here facts and versions of a person stand in one group in date order, and a
+    fact takes the last version before it: facts travel once and are joined with nothing. Facts of
+    people with a large part of all rows are dealt over `LANES` groups, each with a copy of
+    their versions; facts without a person stay where they are read. Versions of a person must not
+    overlap, which the checks ensure.
     """
-    counted = facts.groupBy(person, on_date).agg(F.count("*").alias("_n"))
-    asked = counted.select(person, F.col(on_date).alias("_at"))
-    version = F.struct("valid_from", "valid_to", *take)
-    marks = (
-        dim.select(person, F.col("valid_from").alias("_at"), version.alias("_version"))
-        .withColumn("_asks", F.lit(False))
-        .unionByName(asked.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+    counted = facts.groupBy(person).agg(F.count("*").alias("_n"))
+    hot = F.broadcast(hot_keys(counted, "_n").withColumn("_hot", F.lit(True)))
+    part = F.spark_partition_id()
+    lane = (
+        F.when(F.col(person).isNull(), -1 - part)
+        .when(F.col("_hot"), F.pmod(part, F.lit(LANES)) + 1)
+        .otherwise(0)
+    )
+    asked = facts.join(hot, person, "left").select(
+        *facts.columns, F.col(on_date).alias("_at"), F.lit(True).alias("_asks"), lane.alias("_lane")
+    )
+    every = F.when(F.col("_hot"), F.sequence(F.lit(1), F.lit(LANES))).otherwise(F.array(F.lit(0)))
+    known = dim.where(F.col(person).isNotNull()).join(hot, person, "left").select(
+        person,
+        F.col("valid_from").alias("_at"),
+        F.lit(False).alias("_asks"),
+        F.struct("valid_to", *take).alias("_version"),
+        F.explode(every).alias("_lane"),
     )
     upto = (
-        Window.partitionBy(person)
+        Window.partitionBy(person, "_lane")
         .orderBy("_at", "_asks")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = (
-        marks.withColumn("_version", F.last("_version", ignorenulls=True).over(upto))
+    until = F.col("_version.valid_to")
+    valid = F.col("_at").isNotNull() & (until.isNull() | (F.col("_at") < until))
+    return (
+        asked.unionByName(known, allowMissingColumns=True)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(upto))
         .where(F.col("_asks"))
-        .where(
-            F.col("_version.valid_to").isNull() | (F.col("_at") < F.col("_version.valid_to"))
-        )
-        .select(person, F.col("_at").alias(on_date), *[f"_version.{c}" for c in take])
+        .select(*facts.columns, *[F.when(valid, F.col("_version")[c]).alias(c) for c in take])
     )
-    return attach(facts, found, [person, on_date], rows_per_key=counted)
