@@ -330,7 +330,7 @@ def row_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame
     coarse = F.broadcast(_unequal(a, b, ["_coarse"]))
     a, b = (df.join(coarse, "_coarse", "left_semi") for df in (a, b))
     levels = ["_coarse", "_fine"]
-    fine = _unequal(a, b, levels)
+    fine = F.broadcast(_unequal(a, b, levels))
 
     def per_key(df: DataFrame, side: str) -> DataFrame:
         low = F.col("_row").bitwiseAND(F.lit(0x7FFFFFFF))
