@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import functions as F
 
 from daygrain.operators.versions import as_of
@@ -52,7 +54,7 @@ SELECT *, 'planted' AS dataset FROM ({faulty})"""
 
 def _both(star: Star, check: str, **planted):
     built = CHECKS[check](star.warehouse).withColumn("dataset", F.lit("built"))
-    faulty = CHECKS[check]({**star.warehouse, **planted})
+    faulty = CHECKS[check](ChainMap(planted, star.warehouse))
     return built.unionByName(faulty.withColumn("dataset", F.lit("planted")))
 
 

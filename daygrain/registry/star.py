@@ -8,7 +8,7 @@ executor is lost.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -31,6 +31,40 @@ _WRITING = threading.RLock()
 
 # Lines of a shipped text file: gzip cannot be split, so a file is the work of one task.
 LINES_PER_FILE = 100_000
+# Shipped text is read once or twice, so it is packed at the fast level of gzip.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
+# Warehouse table to the attribute of `Star` that builds it.
+_TABLES = {
+    "dim_date": "dim_date",
+    "dim_customer": "dim_customer",
+    "dim_product": "dim_product",
+    "dim_seller": "dim_seller",
+    "fact_orders": "fact_orders",
+    "fact_order_items": "fact_items",
+    "fact_sessions": "sessions",
+}
+
+
+class Tables(Mapping):
+    """The warehouse tables by name. One is built when it is looked up, so a check that reads two
+    tables of seven does not wait for the others."""
+
+    def __init__(self, star: Star):
+        self.star = star
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return getattr(self.star, _TABLES[table])
+
+    def __contains__(self, table: object) -> bool:
+        return table in _TABLES
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_TABLES)
+
+    def __len__(self) -> int:
+        return len(_TABLES)
 
 
 class Star(Shop):
@@ -50,6 +84,12 @@ class Star(Shop):
                 _WRITTEN[key] = path
         return path
 
+    def added(self, path: str, write: Callable[[str], None]) -> None:
+        """Fill a folder inside a written one, unless its job was committed before."""
+        with _WRITING:
+            if not files.exists(self.spark, files.join(path, "_SUCCESS")):
+                write(path)
+
     def stored(
         self, name: str, build: Callable[[], DataFrame], partition: str | None = None
     ) -> DataFrame:
@@ -58,7 +98,7 @@ class Star(Shop):
             writer = df.hint("rebalance", partition).write.partitionBy(partition) if (
                 partition
             ) else df.write
-            writer.parquet(path)
+            writer.option("compression", "zstd").parquet(path)
 
         path = self.written(name, write)
         if partition is None:
@@ -87,7 +127,7 @@ class Star(Shop):
         def write(path: str) -> None:
             self.events.drop(schemas.CORRUPT).hint("rebalance", "ingest_dt").write.partitionBy(
                 "ingest_dt"
-            ).option("compression", "gzip").option("ignoreNullFields", False).json(path)
+            ).options(**GZIP).option("ignoreNullFields", False).json(path)
 
         path = self.written("raw_events", write)
         schema = schemas.text_schema("events").add("ingest_dt", "string")
@@ -96,7 +136,7 @@ class Star(Shop):
     def _raw_csv(self, name: str, df: DataFrame) -> DataFrame:
         def write(path: str) -> None:
             writer = df.write.option("maxRecordsPerFile", LINES_PER_FILE)
-            writer.option("header", True).option("compression", "gzip").csv(path)
+            writer.option("header", True).options(**GZIP).csv(path)
 
         return read_text_table(self.spark, name, self.written(f"raw_{name}", write))
 
@@ -247,16 +287,8 @@ class Star(Shop):
         )
 
     @property
-    def warehouse(self) -> dict[str, DataFrame]:
-        return {
-            "dim_date": self.dim_date,
-            "dim_customer": self.dim_customer,
-            "dim_product": self.dim_product,
-            "dim_seller": self.dim_seller,
-            "fact_orders": self.fact_orders,
-            "fact_order_items": self.fact_items,
-            "fact_sessions": self.sessions,
-        }
+    def warehouse(self) -> Mapping[str, DataFrame]:
+        return Tables(self)
 
     def with_version(self, facts: DataFrame, dim: DataFrame | None = None) -> DataFrame:
         """The version a fact points at, told by its start: surrogate keys are hashes."""
