@@ -15,7 +15,7 @@ from daygrain.plans import clean, gold
 from daygrain.plans.gold import build_sessions
 from daygrain.plans.warehouse import Warehouse
 from daygrain.registry.base import define, query
-from daygrain.registry.star import LINES_PER_FILE, Star
+from daygrain.registry.star import GZIP, LINES_PER_FILE, Star
 from daygrain.session import shared_dir
 from daygrain.sinks import files
 from daygrain.sinks.partitions import write_gold
@@ -26,8 +26,9 @@ from daygrain.sources.readers import no_rows, read_gold_day, read_inferred, read
 DAY = "2024-12-31"
 
 
-def ship(star: Star) -> str:
-    """All tables but the sellers as text files of one day's drop; returns the raw folder."""
+def ship(star: Star, *names: str) -> str:
+    """Tables as text files of one day's drop, all but the sellers if no names are given; returns
+    the raw folder. A table is shipped once, whichever queries ask for it."""
     tables = {
         "events": star.events.drop("ingest_dt", schemas.CORRUPT),
         "orders": star.orders,
@@ -39,20 +40,21 @@ def ship(star: Star) -> str:
         "product_category_name_translation": star.translation,
     }
 
-    def write(path: str) -> None:
-        for name, df in tables.items():
-            at = files.join(path, f"dt={DAY}", name)
-            writer = df.write.option("maxRecordsPerFile", LINES_PER_FILE).option(
-                "compression", "gzip"
-            )
-            if name == schemas.EVENTS:
-                writer.option("ignoreNullFields", False).json(at)
-            else:
-                writer.option("header", True).option("escape", '"').csv(at)
+    def prepare(path: str) -> None:
         files.replace_text(star.spark, files.join(path, "rules.yaml"), json.dumps(star.rules))
         files.replace_text(star.spark, files.join(path, "_SUCCESS"), "")
 
-    return star.written("raw_drop", write)
+    def write(name: str, at: str) -> None:
+        writer = tables[name].write.option("maxRecordsPerFile", LINES_PER_FILE).options(**GZIP)
+        if name == schemas.EVENTS:
+            writer.option("ignoreNullFields", False).mode("overwrite").json(at)
+        else:
+            writer.option("header", True).option("escape", '"').mode("overwrite").csv(at)
+
+    path = star.written("raw_drop", prepare)
+    for name in names or tables:
+        star.added(files.join(path, f"dt={DAY}", name), lambda at, name=name: write(name, at))
+    return path
 
 
 def clean_day(star: Star) -> tuple[str, list[dict]]:
@@ -296,7 +298,7 @@ SELECT payment_type, count(*) AS payments, sum(payment_installments)::BIGINT AS
 def inferred(star: Star):
     """Payments from text files without a schema: types are found by the extra pass."""
     payments = read_inferred(
-        star.spark, files.join(ship(star), f"dt={DAY}", "order_payments")
+        star.spark, files.join(ship(star, "order_payments"), f"dt={DAY}", "order_payments")
     )
     types = dict(payments.dtypes)
     return payments.groupBy("payment_type").agg(
@@ -319,7 +321,8 @@ WHERE EXISTS (SELECT 1 FROM s_items)""",
 )
 def drift(star: Star):
     """Items as the files have them, one column renamed, against what is declared."""
-    found = read_inferred(star.spark, files.join(ship(star), f"dt={DAY}", "order_items"))
+    shipped = files.join(ship(star, "order_items"), f"dt={DAY}", "order_items")
+    found = read_inferred(star.spark, shipped)
     found = found.withColumnRenamed("price", "cost").withColumns(
         {c: F.col(c).cast("string") for c in ("product_id", "seller_id")}
     )
