@@ -39,6 +39,8 @@ def revenue_by_category_and_state(
 
     Items are first summed per order, product and customer version, so joins carry one row for
     each of these. That does not reduce a hot product: the join on it is left to Spark's skew join.
+    The state is looked up once per order and version and comes back to the order, so that the rows
+    that travel to their product carry a short state, and the long version key only travels for an order.
     """
     earning = orders.where(~F.col("order_status").isin(*NO_REVENUE)).select("order_id")
     per_order = (
@@ -46,9 +48,19 @@ def revenue_by_category_and_state(
         .agg(F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight"))
         .join(earning, "order_id", "left_semi")
     )
-    category = F.coalesce("category_en", F.lit("unknown")).alias("category")
-    placed = per_order.join(products.select("product_id", category), "product_id").join(
+    versions = items.select("order_id", SURROGATE).distinct().join(earning, "order_id", "left_semi")
+    states = versions.join(
         customers.select(SURROGATE, F.col("state").alias("customer_state")), SURROGATE
+    ).withColumnsRenamed({"order_id": "_order", SURROGATE: "_version"})
+    # Equal versions as a plain condition: as a key they would bring both sides to other tasks.
+    same = (F.col("order_id") == F.col("_order")) & F.array_contains(
+        F.array("_version"), F.col(SURROGATE)
+    )
+    category = F.coalesce("category_en", F.lit("unknown")).alias("category")
+    placed = (
+        per_order.join(states, same)
+        .select("order_id", "product_id", "customer_state", "revenue", "freight")
+        .join(products.select("product_id", category), "product_id")
     )
     # Orders are counted by a second aggregation instead of a distinct count: the first one
     # leaves a row per order, and sums of sums stay exact on decimals.

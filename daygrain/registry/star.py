@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.operators.quality import load_rules
-from daygrain.operators.versions import SURROGATE, as_of, history
+from daygrain.operators.versions import PERSON, SURROGATE, as_of, history
 from daygrain.plans import distinct, gold
 from daygrain.plans.clean import accepted, prepare, rejected, tag_table
 from daygrain.plans.sessions import index_days
-from daygrain.session import shared_dir
+from daygrain.session import shared_dir, shuffle_partitions
 from daygrain.sinks import files
 from daygrain.sources import schemas
 from daygrain.sources.readers import read_text_table
@@ -68,11 +68,6 @@ class Tables(Mapping):
 
 
 class Star(Shop):
-    @cached_property
-    def source_state(self) -> tuple:
-        """Changes when a source table does, so that no query is answered from an older lake."""
-        return files.state(self.spark, self.folder)
-
     def written(self, name: str, write: Callable[[str], None]) -> str:
         """The folder `write` filled for this source and application; threads take turns."""
         key = (self.spark.sparkContext.applicationId, self.folder, self.source_state, name)
@@ -107,6 +102,22 @@ class Star(Shop):
         schema = self.spark.read.parquet(path).drop(partition).schema.add(partition, "string")
         return self.spark.read.schema(schema).parquet(path)
 
+    def stored_by_order(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A stored table in buckets of `order_id`: joins and sums per order of two such tables
+        move nothing. The catalog keeps how it is cut, under a name of its own."""
+        n = self.order_parts
+
+        def write(path: str) -> None:
+            with shuffle_partitions(self.spark, n):
+                (
+                    build().repartition(n, "order_id").write.bucketBy(n, "order_id")
+                    .format("parquet").option("compression", "zstd").option("path", path)
+                    .saveAsTable(path.rsplit("/", 1)[1].replace("-", "_"))
+                )
+
+        path = self.written(name, write)
+        return self.spark.table(path.rsplit("/", 1)[1].replace("-", "_"))
+
     @cached_property
     def rules(self) -> dict:
         rules = load_rules()
@@ -190,7 +201,7 @@ class Star(Shop):
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        return self.stored("clean_orders", lambda: accepted(self.tagged_orders, "orders"))
+        return self.stored_by_order("clean_orders", lambda: accepted(self.tagged_orders, "orders"))
 
     @cached_property
     def quarantined_orders(self) -> DataFrame:
@@ -198,7 +209,7 @@ class Star(Shop):
 
     @cached_property
     def clean_items(self) -> DataFrame:
-        return self.stored(
+        return self.stored_by_order(
             "clean_items",
             lambda: accepted(self.tagged("order_items", self.order_items), "order_items"),
         )
@@ -211,13 +222,20 @@ class Star(Shop):
     def build_feed(self) -> DataFrame:
         return gold.build_customer_feed(self.customer_snapshots, self.clean_orders)
 
+    @cached_property
+    def linked_orders(self) -> DataFrame:
+        """Clean orders with their person, which both facts need."""
+        return self.stored_by_order(
+            "linked_orders", lambda: gold.attach_customer(self.clean_orders, self.customer_snapshots)
+        )
+
     def build_fact_orders(self) -> DataFrame:
         return gold.build_fact_orders(
-            self.clean_orders, self.clean_items, self.order_payments, self.customer_snapshots
+            self.linked_orders, self.clean_items, self.order_payments, None
         )
 
     def build_fact_items(self) -> DataFrame:
-        return gold.build_fact_items(self.clean_orders, self.clean_items, self.customer_snapshots)
+        return gold.build_fact_items(self.linked_orders, self.clean_items, None)
 
     def build_dim_product(self) -> DataFrame:
         return gold.build_dim_product(self.products, self.translation)
@@ -268,23 +286,31 @@ class Star(Shop):
         As in a day's run the gold rows are written first: the lookup uses its input more than
         once, and a written one is cheaper than the joins it comes from.
         """
-        return self.stored("gold_orders", self.build_fact_orders)
+        return self.stored_by_order("gold_orders", self.build_fact_orders)
 
     @cached_property
     def gold_items(self) -> DataFrame:
-        return self.stored("gold_items", self.build_fact_items)
+        return self.stored_by_order("gold_items", self.build_fact_items)
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return self.stored(
+        return self.stored_by_order(
             "fact_orders", lambda: as_of(self.gold_orders, self.dim_customer, "order_date")
         )
 
     @cached_property
     def fact_items(self) -> DataFrame:
-        return self.stored(
-            "fact_order_items", lambda: as_of(self.gold_items, self.dim_customer, "order_date")
-        )
+        """Items of an order have its one person and day, so only orders travel to their version."""
+
+        def build() -> DataFrame:
+            items = self.gold_items
+            heads = items.select("order_id", PERSON, "order_date").distinct()
+            versions = as_of(heads, self.dim_customer, "order_date")
+            return items.join(versions.select("order_id", SURROGATE), "order_id").select(
+                *items.columns, SURROGATE
+            )
+
+        return self.stored_by_order("fact_order_items", build)
 
     @property
     def warehouse(self) -> Mapping[str, DataFrame]:

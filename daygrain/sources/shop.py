@@ -8,12 +8,14 @@ data's own columns.
 from __future__ import annotations
 
 from functools import cached_property
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions.values import lookup, yes
 from daygrain.operators.copies import keep_first
+from daygrain.sinks import files
 from daygrain.sources import schemas
 
 # How the generated codes are read as the shop's.
@@ -27,6 +29,9 @@ EVENT_TYPE = {
 PAYMENT_TYPE = {"A": "boleto", "N": "credit_card", "R": "not_defined"}
 DEVICES = ("desktop", "mobile", "tablet")
 
+# Bytes of the sources' files for each part that the orders and their lines are dealt to.
+PART_BYTES = 8 << 20
+
 # The total order by which copies of an order line are told apart.
 LINE_ORDER = (
     "l_shipdate",
@@ -61,6 +66,17 @@ class Shop:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def source_state(self) -> tuple:
+        """Changes when a source table does, so that no query is answered from an older lake."""
+        return files.state(self.spark, self.folder)
+
+    @cached_property
+    def order_parts(self) -> int:
+        """Parts for orders and what belongs to them: more for larger files, so that one stays small."""
+        size = sum(s[1] for s in self.source_state if s[0] in ("orders.parquet", "lineitem.parquet"))
+        return max(self.spark.sparkContext.defaultParallelism, ceil(size / PART_BYTES))
+
     def _raw(self, name: str, df: DataFrame) -> DataFrame:
         """The declared columns in declared order and type."""
         return df.select(
@@ -107,7 +123,7 @@ class Shop:
         return self._raw(
             "order_items",
             lines.select(
-                _text("l_orderkey").alias("order_id"),
+                F.col("order_id") if "order_id" in lines.columns else _text("l_orderkey").alias("order_id"),
                 F.col("l_linenumber").alias("order_item_id"),
                 _text("l_partkey").alias("product_id"),
                 _text("l_suppkey").alias("seller_id"),
@@ -125,10 +141,10 @@ class Shop:
     @cached_property
     def order_items(self) -> DataFrame:
         """Order items without copies. Lines of an order are brought together, so that what is
-        summed per order later shrinks before it travels."""
-        keys = ["l_orderkey", "l_linenumber"]
-        lines = self.table("lineitem").repartition("l_orderkey")
-        return self._lines(keep_first(lines, keys, LINE_ORDER))
+        joined or summed per order later stays where it is."""
+        lines = self.table("lineitem").withColumn("order_id", _text("l_orderkey")).drop("l_orderkey")
+        lines = lines.repartition(self.order_parts, "order_id")
+        return self._lines(keep_first(lines, ["order_id", "l_linenumber"], LINE_ORDER))
 
     @cached_property
     def order_payments(self) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daygrain.operators.versions import SURROGATE, as_of, history
 from daygrain.plans import reconcile
-from daygrain.registry import runs, star
+from daygrain.registry import reports, runs, star
 from daygrain.registry.invariants import _both
 from daygrain.registry.star import Star
 from daygrain.sinks import files
@@ -118,3 +118,23 @@ def test_rows_of_equal_buckets_are_not_shuffled(spark):
     finally:
         spark.conf.set(threshold, before)
     assert semi and all("BroadcastHashJoin" in line for line in semi)
+
+
+def test_revenue_moves_lines_only_to_their_product(spark, shop):
+    """Tables by order are stored so that sums and joins per order move nothing, and no row travels with
+    its version key but one per order."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    shop.fact_items, shop.gold_orders, shop.dim_product, shop.dim_customer
+    spark.conf.set(threshold, "-1")
+    try:
+        found = reports.revenue(shop)
+        moved = [line for line in executed(found).splitlines() if "Exchange hashpartitioning" in line]
+        got = [tuple(r) for r in found.select("category", "customer_state", "orders", "revenue", "freight").collect()]
+    finally:
+        spark.conf.set(threshold, before)
+    assert [(c, s, n, float(r), float(f)) for c, s, n, r, f in got] == [("small", "5-LOW", 6, 96.0, 0.96)]
+    assert not any("price" in line or "product_id" in line and "order_id" in line for line in moved)
+    # Versions to the customers, customers to them, both back; lines and products to each other; two sums.
+    assert len(moved) <= 7
+    assert sum(SURROGATE in line for line in moved) == 2
