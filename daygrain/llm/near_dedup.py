@@ -17,7 +17,8 @@ sequence as one; none: empty). Two documents are linked if 100 * intersection >=
    cluster's head: a step linear in the cluster, after which copies of one text are one component.
    Only buckets that still hold several components go on. There the members outside the cluster's largest
    component, in blocks of their own, meet all blocks of the bucket; two members of one component
-   are not compared again. A task gives a spanning forest of the links it finds, never all pairs.
+   are not compared again. A task gives, for each component it finds, links to its smallest member, never all
+   pairs. A cluster's head is its smallest node, so what the blocks give is stars, whose components take no round.
 5. Components of the links give the result.
 
 Documents without words are linked with nothing. A NULL doc_id takes part, and is the smallest id
@@ -157,11 +158,12 @@ def common_elements(mine: np.ndarray, begins: np.ndarray, owner: np.ndarray, n:
 def forest(nodes: list[bytes], known: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
     """Links that connect what is linked among these sets, beyond the components already `known`.
 
-    Two sets of one known component are not compared: of any other pair at least one is outside the largest
+    They are between first members of known components: a star around the smallest component of those that hang
+    together. Two sets of one known component are not compared: of any other pair at least one is outside the largest
     component, so only those are counted against all.
     """
     n = len(nodes)
-    parts, part = np.unique(np.array(known, object), return_inverse=True)
+    parts, member, part = np.unique(np.array(known, object), return_index=True, return_inverse=True)
     if len(parts) < 2:
         return []
     sizes = np.array([len(s) for s in sets])
@@ -172,7 +174,7 @@ def forest(nodes: list[bytes], known: list[bytes], sets: list[np.ndarray]) -> li
     begins = np.concatenate([[0], np.cumsum(np.bincount(words))])
     ends = np.concatenate([[0], np.cumsum(sizes)])
     outside = part != np.bincount(part).argmax()
-    root = list(range(n))
+    root = list(range(len(parts)))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -180,7 +182,6 @@ def forest(nodes: list[bytes], known: list[bytes], sets: list[np.ndarray]) -> li
             x = root[x]
         return x
 
-    out = []
     for x in np.flatnonzero(outside):
         mine = words[ends[x] : ends[x + 1]]
         if (begins[mine + 1] - begins[mine]).max() == 1:
@@ -189,21 +190,21 @@ def forest(nodes: list[bytes], known: list[bytes], sets: list[np.ndarray]) -> li
         found &= part != part[x]
         found[: x + 1] &= ~outside[: x + 1]  # those were counted against x before
         for y in np.flatnonzero(found):
-            p, q = find(int(x)), find(int(y))
-            if p != q:
-                root[q] = p
-                out.append((nodes[x], nodes[int(y)]))
-    return out
+            p, q = find(int(part[x])), find(int(part[y]))
+            root[max(p, q)] = min(p, q)
+    return [(nodes[member[find(k)]], nodes[member[k]]) for k in range(len(parts)) if find(k) != k]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by group (cluster and two blocks): the links inside each group."""
+    """Rows sorted by group (cluster and two blocks): the links inside each group, of known components."""
     group, nodes, known, sets = None, [], [], []
 
     def finish():
         links = forest(nodes, known, sets) if len(nodes) > 1 else []
         if not links:
             return None
+        name = dict(zip(nodes, known))
+        links = [(name[p], name[q]) for p, q in links]
         return pa.RecordBatch.from_arrays(
             [pa.array([p for p, _ in links], pa.binary()), pa.array([q for _, q in links], pa.binary())], ["a", "b"]
         )
@@ -252,11 +253,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     members = scratch.save(buckets.join(shared, "bucket").select("node", "bucket", "head"), "members")
     scratch.drop("buckets")
-    clusters = scratch.save(
-        components(members.select(F.col("node").alias("a"), F.col("head").alias("b")), scratch, "cluster"), "clusters"
-    )
-    links = scratch.save(_links(rows, classes, members, clusters, scratch), "links")
-    joined = scratch.save(components(links, scratch, "link"), "joined")
+    clusters = components(members.select(F.col("node").alias("a"), F.col("head").alias("b")), scratch, "cluster")
+    joined = components(_links(rows, classes, members, clusters, scratch), scratch, "link")
     ids = classes.join(joined, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     ids = scratch.save(ids, "ids")
     least = ids.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -322,7 +320,7 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, clusters: Da
     mixed = scratch.save(mixed.where("low <> high").select("bucket"), "mixed")
     live = scratch.save(held.join(mixed, "bucket", "left_semi"), "live")
     # Nodes outside their cluster's largest component get blocks of their own, numbered below 0.
-    nodes = live.select("node", "label", "block", "n", "known").distinct()
+    nodes = scratch.save(live.select("node", "label", "block", "n", "known").distinct(), "nodes")
     largest = F.struct("members", "known")
     shares = (
         nodes.groupBy("label", "known").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("elements"))
