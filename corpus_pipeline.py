@@ -17,8 +17,17 @@ from daygrain.llm import exact_dedup, mixing, near_dedup, pieces, quality
 from daygrain.llm.common import Scratch, table
 from daygrain.session import configure
 
+# Rows that go to a Python worker at once. Both sides hold a batch and its answer beside the heap, and keep that memory for the
+# stages that follow; whole texts are large rows.
+BATCH_ROWS = 1024
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return quality.good_only(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -27,6 +36,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return near_dedup.survivors(docs)
 
 
@@ -35,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return pieces.encode(docs).select("doc_id", "source", "lang", "n_chars", "ids")
 
 

@@ -23,6 +23,7 @@ Repeated rows are encoded alike, empty tables give empty results, extra columns
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -93,7 +94,8 @@ class Vocabulary:
         """Whether the two pieces stay apart when their texts meet."""
         found = self.merge(left + right) == [left, right]
         if len(self._apart) < REMEMBERED_PAIRS:
-            self._apart[left, right] = found
+            # One string for each piece, not two for each pair.
+            self._apart[sys.intern(left), sys.intern(right)] = found
         return found
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[str]]:

@@ -41,6 +41,8 @@ TRIPLETS = 2 * BUCKETS
 REPEATS = 2
 REPEAT_WEIGHT = 4.0
 _SHARPNESS = 8
+# Texts that are hashed and looked up at once, within a block.
+HASHED_BYTES, HASHED_ROWS = 1 << 17, 128
 
 _OUTLINE = np.arange(256, dtype=np.uint64)
 _OUTLINE[97:123], _OUTLINE[65:91], _OUTLINE[48:58], _OUTLINE[128:] = 97, 65, 48, 128
@@ -49,8 +51,20 @@ _OUTLINE[[9, 11, 12, 13]] = 32
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Square roots of the shares of all buckets, a row per text; all 0 for a text without any."""
+    out = np.zeros((len(offsets) - 1, TRIPLETS + REPEATS), np.float32)
+    start = 0
+    # A byte takes some hundred more while it is hashed, so few texts are hashed at once.
+    while start < len(out):
+        end = int(np.searchsorted(offsets, offsets[start] + HASHED_BYTES, side="right")) - 1
+        end = min(len(out), max(end, start + 1), start + HASHED_ROWS)
+        _count(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], out[start:end])
+        start = end
+    return np.sqrt(out, out=out)
+
+
+def _count(data: np.ndarray, offsets: np.ndarray, out: np.ndarray) -> None:
+    """Fills `out` with the shares of all buckets."""
     n = len(offsets) - 1
-    out = np.zeros((n, TRIPLETS + REPEATS), np.float32)
     low = lowered(data)
     if len(data) >= 3:
         row = np.repeat(np.arange(n), np.diff(offsets))
@@ -74,7 +88,6 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         total_pairs = np.bincount(owners, minlength=n)
         out[:, TRIPLETS] = REPEAT_WEIGHT * same / counts
         out[:, TRIPLETS + 1] = REPEAT_WEIGHT * (total_pairs - fresh) / counts
-    return np.sqrt(out)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -92,17 +105,22 @@ class Model:
     prior: float
 
     def latent(self, found: np.ndarray) -> np.ndarray:
-        return unit(unit(found * self.weights) @ self.axes)
+        weighted = found * self.weights
+        weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+        return unit(weighted @ self.axes)
 
     def scores(self, found: np.ndarray) -> np.ndarray:
         out = np.full(len(found), self.prior)
         some = found.any(axis=1)
         if len(self.vectors) and some.any():
-            cosines = self.latent(found[some]) @ self.vectors.T
+            cosines = self.latent(found if some.all() else found[some]) @ self.vectors.T
             k = min(NEIGHBOURS, len(self.vectors))
-            near = np.argpartition(cosines, -k, axis=1)[:, -k:]
-            weights = np.clip(np.take_along_axis(cosines, near, 1), 1e-6, 1) ** _SHARPNESS
-            out[some] = (weights * self.labels[near]).sum(1) / weights.sum(1)
+            rows = np.flatnonzero(some)
+            for start in range(0, len(rows), HASHED_ROWS):
+                part = cosines[start : start + HASHED_ROWS]
+                near = np.argpartition(part, -k, axis=1)[:, -k:]
+                weights = np.clip(np.take_along_axis(part, near, 1), 1e-6, 1) ** _SHARPNESS
+                out[rows[start : start + HASHED_ROWS]] = (weights * self.labels[near]).sum(1) / weights.sum(1)
         return np.clip(out, 0.0, 1.0)
 
 

@@ -50,3 +50,21 @@ def test_stages_keep_the_columns_and_bear_odd_tables(spark):
                 assert out.columns == docs.columns
                 docs = out
             out.collect()
+
+
+def test_python_gets_few_texts_at_once(spark):
+    """Failed check of the pipeline: batches of 10,000 whole texts, held by the JVM and by the worker."""
+    too_large = spark.sparkContext.accumulator(0)
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('some text ', id) AS text", "'en' AS lang", "'a' AS source", "20L AS n_chars").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2], corpus_pipeline.STAGES[4]):
+        spark.conf.unset(name)
+        stage(spark, docs, FOLDER)
+
+        def largest(batches):
+            for batch in batches:
+                too_large.add(batch.num_rows > corpus_pipeline.BATCH_ROWS)
+                yield batch
+
+        assert docs.mapInArrow(largest, docs.schema).count() == 5000
+    assert too_large.value == 0

@@ -1,5 +1,8 @@
 """Quality scores: held-out accuracy, exact neighbours, odd rows."""
 
+import random
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -66,3 +69,27 @@ def test_scores_do_not_depend_on_the_layout(spark):
         model = quality.train(docs.repartition(n, order), labels.repartition(n, order))
         found.append({r.doc_id: r.score for r in quality.score(docs.where("text NOT IN ('another text')"), model).collect()})
     assert found[0] == found[1]
+
+
+def test_a_block_of_texts_takes_little_memory():
+    """Failed check of the pipeline: two workers and the JVM took more than 3000 MB of an executor."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)).encode() for _ in range(800)]
+    texts[3:6] = [b"", b"ab", b"one long text " * 9000]
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    vectors = quality.unit(np.random.default_rng(1).standard_normal((2 * quality.PER_LABEL, quality.LATENT))).astype(np.float32)
+    axes = np.random.default_rng(2).standard_normal((quality.TRIPLETS + quality.REPEATS, quality.LATENT)).astype(np.float32)
+    model = quality.Model(np.ones(len(axes), np.float32), axes, vectors, np.arange(len(vectors)) % 2.0, 0.5)
+    quality.features(data[:9], np.array([0, 9]))
+    tracemalloc.start()
+    found = quality.features(data, offsets)
+    scores = model.scores(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48e6
+    # Texts by themselves have the same features, and so the same score.
+    for k in (0, 3, 4, 5, 6, 127, 128, 799):
+        alone = np.frombuffer(texts[k], np.uint8)
+        assert (quality.features(alone, np.array([0, len(alone)]))[0] == found[k]).all()
+        assert abs(model.scores(found[k : k + 1])[0] - scores[k]) < 1e-4
