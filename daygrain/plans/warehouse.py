@@ -32,7 +32,7 @@ from daygrain.operators.merge import upsert
 from daygrain.operators.versions import ADDRESS, PERSON, SURROGATE, apply_feed, as_of, observed_history
 from daygrain.plans import checks
 from daygrain.plans.gold import dim_date
-from daygrain.session import configure, millisecond_timestamps
+from daygrain.session import PACKED, configure, millisecond_timestamps
 from daygrain.sinks import files
 from daygrain.sinks.manifests import Manifests
 from daygrain.sources import schemas
@@ -236,13 +236,13 @@ class Warehouse:
         home = files.join(table, f"run={run}")
         at = files.join(self.folder, home)
         if table not in DAY_COLUMN:
-            df.write.mode("overwrite").parquet(at)
+            df.write.mode("overwrite").options(**PACKED).parquet(at)
             return {WHOLE: home}
         df = df.withColumn(PART, self._part_of(table))
         if len(set(parts)) > FEW_PARTS:
             # Rebalancing puts a part's rows together and splits one that is too big for a task.
             df = df.hint("rebalance", PART)
-        df.write.mode("overwrite").partitionBy(PART).parquet(at)
+        df.write.mode("overwrite").options(**PACKED).partitionBy(PART).parquet(at)
         return {
             name.split("=", 1)[1]: files.join(home, name)
             for name in files.children(self.spark, at)
@@ -301,6 +301,7 @@ class Warehouse:
             df.withColumn(PART, name)
             .hint("rebalance", PART)
             .write.mode("overwrite")
+            .options(**PACKED)
             .partitionBy(PART)
             .parquet(files.join(self.folder, at))
         )
