@@ -12,7 +12,7 @@ from daygrain.functions.time import LOCAL_ZONE, parse_ts, utc
 from daygrain.operators import quality
 from daygrain.operators.copies import dedupe
 from daygrain.plans import sessions
-from daygrain.session import configure, millisecond_timestamps, shared_dir
+from daygrain.session import PACKED, configure, millisecond_timestamps, shared_dir
 from daygrain.sinks import files
 from daygrain.sinks.partitions import write_partition
 from daygrain.sinks.watermark import Watermarks, advance
@@ -74,7 +74,7 @@ def process_table(
     held = shared_dir(spark, "tagged")
     index = files.join(clean_dir, sessions.INDEX)
     try:
-        tagged.write.parquet(held)
+        tagged.write.options(**PACKED).parquet(held)
         tagged = spark.read.schema(tagged.schema).parquet(held)
         summary = tally.summary()
         if name == schemas.EVENTS:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from daygrain.session import PACKED
 from daygrain.sinks import files
 
 
@@ -24,6 +25,7 @@ def write_partition(df: DataFrame, base: str, dt: str, column: str = "ingest_dt"
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**PACKED)
         .partitionBy(column)
         .parquet(base)
     )
@@ -38,6 +40,7 @@ def overwrite_partitions(df: DataFrame, base: str, column: str) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**PACKED)
         .partitionBy(column)
         .parquet(base)
     )
@@ -50,7 +53,7 @@ def write_gold(spark, df: DataFrame | None, gold: str, table: str, dt: str) -> i
         files.delete_folder(spark, folder)
         return 0
     df, seen = _written(df)
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").options(**PACKED).parquet(folder)
     return seen.get["rows"]
 
 
